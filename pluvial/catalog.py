@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pluvial.plans import analytics as K
+from pluvial.plans import checks as DQ
 from pluvial.plans.warehouse import Warehouse
 from pluvial.session import apply_conf
 from pluvial.sources import weather as W
@@ -110,6 +111,14 @@ def weather_coverage_gaps(spark, sf_dir):
     return W.coverage_gaps(W.request_plan(raw.patients, raw.encounters), raw.weather)
 
 
+def _dq(fn) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_conf(spark)
+        return fn(RawLayer(spark, sf_dir))
+    run.__name__ = fn.__name__
+    return run
+
+
 QUERIES: dict[str, Query] = {
     # staging (weather_id is a hash surrogate key: checked by unit tests, not SQL)
     "stg_patients": _model("stg_patients"),
@@ -143,4 +152,11 @@ QUERIES: dict[str, Query] = {
     # sources
     "weather_request_plan": weather_request_plan,
     "weather_coverage_gaps": weather_coverage_gaps,
+    # data quality
+    "dq_not_null": _dq(DQ.dq_not_null),
+    "dq_unique": _dq(DQ.dq_unique),
+    "dq_value_range": _dq(DQ.dq_value_range),
+    "dq_referential": _dq(DQ.dq_referential),
+    "dq_duplicates": _dq(DQ.dq_duplicates),
+    "dq_report": _dq(DQ.dq_report),
 }

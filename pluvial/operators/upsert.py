@@ -2,34 +2,36 @@
 
 Parquet tables cannot be updated in place, so an upsert is expressed as a
 new version: ``target UNION (batch minus existing keys)``.  "First row wins"
-and "last row wins" are aggregations, not windows: ``min``/``max`` over a
-``struct(order..., payload...)`` is combined map-side before the shuffle, so
-a key that holds a third of the batch is reduced to one row per task before
-it moves (a ``row_number`` window would sort the whole hot key in one task).
+and "last row wins" are ``row_number() = 1`` per key; Catalyst plans a
+partial WindowGroupLimit before the shuffle, so every task keeps one row
+per key before anything moves and a key holding a third of the batch never
+lands whole in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_WIN = "__winner"
+_RN = "__row_in_key"
+_UNORDERABLE = (T.MapType, T.VariantType) if hasattr(T, "VariantType") else (T.MapType,)
 
 
 def _pick(batch: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
           last: bool) -> DataFrame:
-    payload = [c for c in batch.columns if c not in keys]
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    ranked = F.struct(
-        F.struct(*order_cols).alias("o"),
-        F.struct(*[F.col(c) for c in payload]).alias("p"),
-    )
-    agg = F.max(ranked) if last else F.min(ranked)
-    picked = batch.groupBy(*keys).agg(agg.alias(_WIN))
-    return picked.select(*keys, *[F.col(f"{_WIN}.p.{c}").alias(c) for c in payload]) \
-        .select(*batch.columns)
+    named = {o for o in order if isinstance(o, str)}
+    # the payload breaks ties, so the winner does not depend on task timing
+    ties = [F.col(f.name) for f in batch.schema.fields
+            if f.name not in keys and f.name not in named
+            and not isinstance(f.dataType, _UNORDERABLE)]
+    ordering = [(c.desc_nulls_last() if last else c.asc_nulls_first())
+                for c in order_cols + ties]
+    w = Window.partitionBy(*keys).orderBy(*ordering)
+    return batch.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN)
 
 
 def first_wins(batch: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:

@@ -383,5 +383,105 @@ WHERE NOT EXISTS (SELECT 1 FROM raw_weather w WHERE w.lat = plan.lat AND w.lon =
 }
 
 
+# --- data quality ---------------------------------------------------------------
+def _dq(check: str, table: str, column: str, failed: str, total: str, source: str) -> str:
+    return (f"SELECT '{check}' AS \"check\", '{table}' AS table_name, '{column}' AS column_name, "
+            f"CAST(coalesce({failed}, 0) AS BIGINT) AS failed_rows, CAST({total} AS BIGINT) AS total_rows, "
+            f"coalesce({failed}, 0) = 0 AS passed FROM {source}")
+
+
+_RAW_NAME = {"patients": "raw_patients", "encounters": "raw_encounters",
+             "conditions": "raw_conditions", "weather": "raw_weather", "icd_codes": "raw_icd"}
+_NOT_NULL = {"patients": ["id"], "encounters": ["encounter_id", "patient_id"],
+             "conditions": ["condition_id", "patient_id"], "weather": ["lat", "lon", "date"],
+             "icd_codes": ["code"]}
+_KEYS = {"patients": ["id"], "encounters": ["encounter_id"], "conditions": ["condition_id"],
+         "weather": ["lat", "lon", "date"], "icd_codes": ["code"]}
+_RANGES = {
+    "patients": {"lat_range": "lat BETWEEN -90 AND 90", "lon_range": "lon BETWEEN -180 AND 180",
+                 "birth_before_death": "birthdate <= CAST(deceased_datetime AS DATE)"},
+    "encounters": {"end_after_start": "period_end >= period_start"},
+    "weather": {"lat_range": "lat BETWEEN -90 AND 90", "lon_range": "lon BETWEEN -180 AND 180",
+                "prcp_non_negative": "prcp >= 0",
+                "tavg_between_min_max": "tmin <= tavg AND tavg <= tmax",
+                "pres_range": "pres BETWEEN 850 AND 1100"},
+}
+_FKS = (("encounters", ["patient_id"], "patients", ["id"]),
+        ("conditions", ["patient_id"], "patients", ["id"]),
+        ("conditions", ["encounter_id"], "encounters", ["encounter_id"]))
+
+
+def _dq_not_null() -> list[str]:
+    out = []
+    for t, cols in _NOT_NULL.items():
+        for c in cols:
+            out.append(_dq("not_null", t, c, f"count(*) FILTER (WHERE {c} IS NULL)", "count(*)",
+                           _RAW_NAME[t]))
+    return out
+
+
+def _dq_unique() -> list[str]:
+    out = []
+    for t, key in _KEYS.items():
+        k = ", ".join(key)
+        src = f"(SELECT {k}, count(*) AS n FROM {_RAW_NAME[t]} GROUP BY {k})"
+        out.append(_dq("unique", t, ",".join(key), "sum(n) FILTER (WHERE n > 1)", "sum(n)", src))
+    return out
+
+
+def _dq_range() -> list[str]:
+    out = []
+    for t, rules in _RANGES.items():
+        for name, cond in rules.items():
+            out.append(_dq("value_range", t, name, f"count(*) FILTER (WHERE NOT ({cond}))",
+                           "count(*)", _RAW_NAME[t]))
+    return out
+
+
+def _dq_referential() -> list[str]:
+    out = []
+    for child, ck, parent, pk in _FKS:
+        on = " AND ".join(f"p.{p} = c.{c}" for c, p in zip(ck, pk))
+        has = " AND ".join(f"c.{c} IS NOT NULL" for c in ck)
+        failed = (f"count(*) FILTER (WHERE {has} AND NOT EXISTS "
+                  f"(SELECT 1 FROM {_RAW_NAME[parent]} p WHERE {on}))")
+        out.append(_dq("referential", child, ",".join(ck), failed, "count(*)",
+                       f"{_RAW_NAME[child]} c"))
+    return out
+
+
+_RAW_COLUMNS = {
+    "patients": "id, birthdate, gender, city, state, lat, lon, deceased_datetime",
+    "encounters": ("encounter_id, status, class_code, type_code, type_display, patient_id, "
+                   "period_start, period_end, practitioner_display, location_display, "
+                   "service_provider_display, reason_code, reason_display"),
+    "conditions": ("condition_id, patient_id, encounter_id, clinical_status, verification_status, "
+                   "category_code, condition_code, condition_code_system, condition_display, "
+                   "onset_datetime, recorded_date, abatement_datetime"),
+    "weather": "lat, lon, date, tavg, tmin, tmax, prcp, pres",
+    "icd_codes": "code, title, description, parent_code",
+}
+
+
+def _dq_dups() -> list[str]:
+    out = []
+    for t, cols in _RAW_COLUMNS.items():
+        src = f"(SELECT count(*) AS n FROM {_RAW_NAME[t]} GROUP BY {cols})"
+        out.append(_dq("duplicate_rows", t, "*", "sum(n - 1)", "sum(n)", src))
+    return out
+
+
+_DQ_PARTS = {
+    "dq_not_null": _dq_not_null,
+    "dq_unique": _dq_unique,
+    "dq_value_range": _dq_range,
+    "dq_referential": _dq_referential,
+    "dq_duplicates": _dq_dups,
+}
+for _name, _fn in _DQ_PARTS.items():
+    FINAL[_name] = "\nUNION ALL\n".join(_fn())
+FINAL["dq_report"] = "\nUNION ALL\n".join(q for fn in _DQ_PARTS.values() for q in fn())
+
+
 def oracle_queries() -> dict[str, str]:
     return {name: _q(final) for name, final in FINAL.items()}

@@ -109,19 +109,14 @@ def encounters(t: Tables) -> DataFrame:
     )
 
 
-def condition_batch(t: Tables) -> DataFrame:
-    """Every lineitem as a condition row, with the lineitem's order columns
-    (``_o_*``) that define "first" among rows sharing a condition_id."""
-    li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                           "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+def _condition_columns(resolved_flag: str = "l_returnflag"):
     display = None
     for i, name in enumerate(PAIN_DISPLAYS):
         cond = F.expr(f"l_partkey % 6 = {i}")
         display = F.when(cond, name) if display is None else display.when(cond, name)
     is_icd = F.expr("l_partkey % 5 = 0")
-    resolved = F.col("l_returnflag") != "N"
-    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+    resolved = F.col(resolved_flag) != "N"
+    return [
         F.concat(F.lit("c"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("condition_id"),
         F.concat(F.lit("p"), F.col("o_custkey").cast("string")).alias("patient_id"),
@@ -137,23 +132,45 @@ def condition_batch(t: Tables) -> DataFrame:
         _ts("o_orderdate").alias("onset_datetime"),
         F.col("o_orderdate").cast("date").alias("recorded_date"),
         F.when(resolved, _ts("l_shipdate")).alias("abatement_datetime"),
-        F.col("l_partkey").alias("_o_partkey"),
-        F.col("l_suppkey").alias("_o_suppkey"),
-        F.col("l_shipdate").alias("_o_shipdate"),
-        F.col("l_quantity").alias("_o_quantity"),
-        F.col("l_extendedprice").alias("_o_extendedprice"),
+    ]
+
+
+LINEITEM_COLS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                 "l_extendedprice", "l_returnflag", "l_shipdate")
+# "First" among lineitems sharing (orderkey, linenumber): this order, then an
+# unreturned line (N) before a returned one.
+LINE_ORDER = ("l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice")
+
+
+def condition_batch(t: Tables) -> DataFrame:
+    """Every lineitem as a condition row (duplicate condition_ids included),
+    with the lineitem's order columns (``_o_*``) that define "first"."""
+    li = t.lineitem.select(*LINEITEM_COLS)
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+        *_condition_columns(),
+        *[F.col(c).alias(f"_o_{c[2:]}") for c in LINE_ORDER],
+        (F.col("l_returnflag") != "N").alias("_o_returned"),
     )
 
 
-CONDITION_ORDER = ("_o_partkey", "_o_suppkey", "_o_shipdate", "_o_quantity", "_o_extendedprice")
+CONDITION_ORDER = tuple(f"_o_{c[2:]}" for c in LINE_ORDER) + ("_o_returned",)
 
 
 def conditions(t: Tables) -> DataFrame:
-    """Raw conditions: the lineitem batch upserted into an empty table
-    (first row per condition_id wins)."""
-    batch = condition_batch(t)
-    return first_wins(batch, ["condition_id"], CONDITION_ORDER) \
-        .select(*schemas.columns(schemas.CONDITIONS))
+    """Raw conditions: the lineitem batch upserted into an empty table.
+
+    Same rows as ``first_wins(condition_batch(t), ["condition_id"], ...)``,
+    but the first-wins step runs on the numeric lineitem key before the
+    join and before any string is built: condition_id is a one-to-one
+    function of (l_orderkey, l_linenumber), and every condition column
+    depends only on the winning line and its order.
+    """
+    li = t.lineitem.select(*LINEITEM_COLS).withColumn(
+        "_returned", F.col("l_returnflag") != "N")
+    first = first_wins(li, ["l_orderkey", "l_linenumber"], [*LINE_ORDER, "_returned"])
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    return first.join(o, first.l_orderkey == o.o_orderkey).select(*_condition_columns())
 
 
 def weather_observations(t: Tables) -> DataFrame:

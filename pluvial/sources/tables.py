@@ -9,10 +9,33 @@ BASE_TABLES = (
 )
 
 
+# Tables whose size grows with the scale factor (the rest are fixed-size lists).
+GROWING = ("customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Guarantee the scan feeds every core.
+
+    A file written as one row group is read by one task however large it
+    is, and everything up to the first shuffle (projections, broadcast
+    joins, map-side aggregation) would run in that task.  When a scan has
+    fewer splits than the cluster's default parallelism it is spread
+    round-robin; at scale (many files / row groups) this is a no-op.
+    """
+    spark = df.sparkSession
+    if spark.conf.get("pluvial.spreadScans", "false") != "true":
+        return df
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of the given folder.  Column pruning and filters reach the
     Parquet scan because callers select/filter on the returned DataFrame."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in GROWING else df
 
 
 class Tables:
