@@ -16,7 +16,9 @@ from pluvial.plans import checks as DQ
 from pluvial.plans.warehouse import Warehouse
 from pluvial.session import apply_conf
 from pluvial.sources import weather as W
+from pluvial.sources import derived as D
 from pluvial.sources.derived import RawLayer
+from pluvial.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,6 +113,14 @@ def weather_coverage_gaps(spark, sf_dir):
     return W.coverage_gaps(W.request_plan(raw.patients, raw.encounters), raw.weather)
 
 
+def _raw(fn) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_conf(spark)
+        return fn(Tables(spark, sf_dir))
+    run.__name__ = fn.__name__
+    return run
+
+
 def _dq(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_conf(spark)
@@ -152,6 +162,11 @@ QUERIES: dict[str, Query] = {
     # sources
     "weather_request_plan": weather_request_plan,
     "weather_coverage_gaps": weather_coverage_gaps,
+    # upserts
+    "upsert_ignore": _raw(D.conditions_after_reload),
+    "upsert_replace": _raw(D.icd_after_revision),
+    # code hierarchy
+    "hierarchy_bfs": _raw(D.icd_from_hierarchy),
     # data quality
     "dq_not_null": _dq(DQ.dq_not_null),
     "dq_unique": _dq(DQ.dq_unique),

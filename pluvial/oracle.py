@@ -67,14 +67,17 @@ condition_batch AS (
          CAST(o.o_orderdate AS TIMESTAMP) AS onset_datetime,
          CAST(o.o_orderdate AS DATE) AS recorded_date,
          CASE WHEN l.l_returnflag <> 'N' THEN CAST(l.l_shipdate AS TIMESTAMP) END AS abatement_datetime,
-         l.l_linestatus AS linestatus,
+         l.l_partkey AS o_partkey, l.l_suppkey AS o_suppkey, l.l_shipdate AS o_shipdate,
+         l.l_quantity AS o_quantity, l.l_extendedprice AS o_extendedprice,
+         l.l_returnflag <> 'N' AS o_returned,
          row_number() OVER (PARTITION BY l.l_orderkey, l.l_linenumber
                             ORDER BY l.l_partkey, l.l_suppkey, l.l_shipdate, l.l_quantity,
                                      l.l_extendedprice, l.l_returnflag = 'N' DESC) AS batch_rank
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 ),
 raw_conditions AS (
-  SELECT * EXCLUDE (batch_rank, linestatus) FROM condition_batch WHERE batch_rank = 1
+  SELECT * EXCLUDE (batch_rank, o_partkey, o_suppkey, o_shipdate, o_quantity, o_extendedprice, o_returned)
+  FROM condition_batch WHERE batch_rank = 1
 ),
 weather_observations AS (
   SELECT CAST(40 + s.s_nationkey * 0.1 AS DOUBLE) AS lat,
@@ -213,6 +216,8 @@ PAIN = ("(condition_display ILIKE '%chronic%pain%' OR condition_display ILIKE '%
 
 
 def _q(final: str) -> str:
+    if final.lstrip().upper().startswith("WITH"):
+        return final
     return "WITH " + RAW + "," + MODELS + "\n" + final
 
 
@@ -471,6 +476,93 @@ def _dq_dups() -> list[str]:
     return out
 
 
+FINAL["upsert_ignore"] = """
+, first_load AS (
+  SELECT * EXCLUDE (load_rank) FROM (
+    SELECT *, row_number() OVER (PARTITION BY condition_id
+                                 ORDER BY o_partkey, o_suppkey, o_shipdate, o_quantity,
+                                          o_extendedprice, o_returned) AS load_rank
+    FROM condition_batch WHERE o_shipdate < TIMESTAMP '1997-01-01 00:00:00')
+  WHERE load_rank = 1
+)
+SELECT condition_id, patient_id, encounter_id, clinical_status, verification_status, category_code,
+       condition_code, condition_code_system, condition_display, onset_datetime, recorded_date,
+       abatement_datetime
+FROM first_load
+UNION ALL
+SELECT condition_id, patient_id, encounter_id, clinical_status, verification_status, category_code,
+       condition_code, condition_code_system, condition_display, onset_datetime, recorded_date,
+       abatement_datetime
+FROM raw_conditions WHERE condition_id NOT IN (SELECT condition_id FROM first_load)"""
+
+FINAL["upsert_replace"] = """
+, revision AS (
+  SELECT 'A' || lpad(CAST(p_partkey % 30 AS VARCHAR), 2, '0') AS code,
+         'Title ' || CAST(p_partkey % 30 AS VARCHAR) || ' / ' || p_brand AS title,
+         p_type AS description,
+         CASE WHEN p_partkey % 30 < 10 THEN 'A00-A09'
+              WHEN p_partkey % 30 < 20 THEN 'A10-A19' ELSE 'A20-A29' END AS parent_code,
+         row_number() OVER (PARTITION BY p_partkey % 30 ORDER BY p_partkey DESC) AS latest
+  FROM part
+)
+SELECT code, title, description, parent_code FROM revision WHERE latest = 1
+UNION ALL
+SELECT code, title, description, parent_code FROM raw_icd
+WHERE code NOT IN (SELECT code FROM revision)"""
+
+_H = "http://id.example.org/icd/release/10/2019"
+FINAL["hierarchy_bfs"] = f"""
+WITH RECURSIVE
+parts AS (
+  SELECT p_partkey, p_name, p_brand, p_type, p_size,
+         CAST(regexp_extract(p_brand, '#([0-9]+)', 1) AS INTEGER) AS brand_n,
+         CAST(floor((p_size - 1) / 10) AS INTEGER) AS band,
+         '{_H}/P' || CAST(p_partkey AS VARCHAR) AS part_url,
+         '{_H}/T-' || p_type AS type_url,
+         '{_H}/BRAND' || regexp_extract(p_brand, '#([0-9]+)', 1) AS brand_url,
+         '{_H}/' || CAST(CAST(floor((p_size - 1) / 10) AS INTEGER) * 10 AS VARCHAR) AS band_url,
+         '{_H}/SIZE' || CAST(p_size AS VARCHAR) AS size_url
+  FROM part
+),
+links AS (
+  SELECT DISTINCT '{_H}' AS parent_url, type_url AS child_url,
+         CAST(1000 + ascii(p_type) * 100 + length(p_type) AS BIGINT) AS ordinal FROM parts
+  UNION ALL SELECT DISTINCT '{_H}', brand_url, CAST(brand_n * 2 AS BIGINT) FROM parts
+  UNION ALL SELECT DISTINCT '{_H}', band_url, CAST(band * 10 + 3 AS BIGINT) FROM parts
+  UNION ALL SELECT DISTINCT band_url, size_url, CAST(p_size AS BIGINT) FROM parts
+  UNION ALL SELECT type_url, part_url, p_partkey FROM parts
+  UNION ALL SELECT brand_url, part_url, p_partkey FROM parts
+  UNION ALL SELECT size_url, part_url, p_partkey FROM parts
+  UNION ALL SELECT part_url, '{_H}', CAST(0 AS BIGINT) FROM parts WHERE p_size = 50
+  UNION ALL SELECT part_url, band_url, CAST(1 AS BIGINT) FROM parts WHERE p_size = 50
+),
+entities AS (
+  SELECT DISTINCT type_url AS url, 'T-' || p_type AS code, p_type AS title,
+         'Parts of type ' || p_type AS description FROM parts
+  UNION ALL SELECT DISTINCT brand_url, 'BRAND' || CAST(brand_n AS VARCHAR), p_brand,
+         CAST(NULL AS VARCHAR) FROM parts
+  UNION ALL SELECT DISTINCT size_url, 'SIZE' || CAST(p_size AS VARCHAR),
+         'Size ' || CAST(p_size AS VARCHAR), CAST(NULL AS VARCHAR) FROM parts
+  UNION ALL SELECT part_url, 'P' || CAST(p_partkey AS VARCHAR), p_name, p_type FROM parts
+),
+walk(url, parent_url, depth, path) AS (
+  SELECT '{_H}', CAST(NULL AS VARCHAR), 0, CAST([] AS BIGINT[])
+  UNION ALL
+  SELECT l.child_url, w.url, w.depth + 1, list_append(w.path, l.ordinal)
+  FROM walk w JOIN links l ON l.parent_url = w.url
+  WHERE w.depth < 4
+),
+first_seen AS (
+  SELECT url, parent_url, depth FROM (
+    SELECT *, row_number() OVER (PARTITION BY url ORDER BY depth, path, parent_url) AS rn FROM walk)
+  WHERE rn = 1
+)
+SELECT e.code, e.title, e.description,
+       CASE WHEN regexp_matches(regexp_extract(rtrim(f.parent_url, '/'), '[^/]*$'), '[A-Za-z]')
+            THEN regexp_extract(rtrim(f.parent_url, '/'), '[^/]*$') END AS parent_code,
+       f.depth
+FROM first_seen f JOIN entities e ON e.url = f.url"""
+
 _DQ_PARTS = {
     "dq_not_null": _dq_not_null,
     "dq_unique": _dq_unique,

@@ -245,3 +245,152 @@ class RawLayer:
     @property
     def icd_codes(self) -> DataFrame:
         return icd_codes(self.tables)
+
+
+# --- upsert scenarios (B1, B2) ---------------------------------------------------
+# The first condition load held lines shipped before this day; the next batch
+# carries every line.
+FIRST_LOAD_BEFORE = "1997-01-01"
+
+
+def conditions_after_reload(t: Tables) -> DataFrame:
+    """B1: conditions loaded once (lines shipped before FIRST_LOAD_BEFORE),
+    then the whole lineitem batch upserted with ON CONFLICT DO NOTHING."""
+    from pluvial.operators.upsert import upsert_ignore
+
+    batch = condition_batch(t)
+    target = first_wins(batch.where(F.col("_o_shipdate") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz")),
+                        ["condition_id"], CONDITION_ORDER) \
+        .select(*schemas.columns(schemas.CONDITIONS))
+    return upsert_ignore(target, batch, ["condition_id"], CONDITION_ORDER)
+
+
+def icd_revision_batch(t: Tables) -> DataFrame:
+    """A revised code list: one row per part, so every code comes many times;
+    the row of the highest part key (the latest) must win."""
+    k = F.expr("p_partkey % 30")
+    return t.part.select("p_partkey", "p_brand", "p_type").select(
+        F.concat(F.lit("A"), F.lpad(k.cast("string"), 2, "0")).alias("code"),
+        F.concat(F.lit("Title "), k.cast("string"), F.lit(" / "), F.col("p_brand")).alias("title"),
+        F.col("p_type").alias("description"),
+        F.when(k < 10, "A00-A09").when(k < 20, "A10-A19").otherwise("A20-A29").alias("parent_code"),
+        F.col("p_partkey").alias("_revision"),
+    )
+
+
+def icd_after_revision(t: Tables) -> DataFrame:
+    """B2: the code table after upserting the revision (ON CONFLICT DO UPDATE)."""
+    from pluvial.operators.upsert import upsert_replace
+
+    return upsert_replace(icd_codes(t), icd_revision_batch(t), ["code"], ["_revision"])
+
+
+# --- code hierarchy (A15, A16) ------------------------------------------------
+# The root URL of the landed classification release, and the
+# node kinds derived from ``part``:
+#   root -> T-<type>     -> P<partkey>        (ordinal 1000 + 100*ascii(type) + length(type))
+#   root -> BRAND<n>     -> P<partkey>        (ordinal 2n)
+#   root -> <band*10>    -> SIZE<s> -> P<partkey>   (band = (size-1) div 10, ordinal 10*band + 3)
+#   P<partkey> -> root, P<partkey> -> <band*10>     for size 50 (cycles)
+HIERARCHY_ROOT = "http://id.example.org/icd/release/10/2019"
+CYCLE_SIZE = 50
+
+
+def _url(segment):
+    return F.concat(F.lit(HIERARCHY_ROOT + "/"), segment)
+
+
+def _part_nodes(t: Tables) -> DataFrame:
+    p = t.part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    band = F.floor((F.col("p_size") - 1) / 10).cast("int")
+    return p.select(
+        "p_partkey", "p_name", "p_brand", "p_type", "p_size",
+        F.regexp_extract("p_brand", r"#(\d+)", 1).cast("int").alias("brand_n"),
+        band.alias("band"),
+        _url(F.concat(F.lit("P"), F.col("p_partkey").cast("string"))).alias("part_url"),
+        _url(F.concat(F.lit("T-"), F.col("p_type"))).alias("type_url"),
+        _url(F.concat(F.lit("BRAND"), F.regexp_extract("p_brand", r"#(\d+)", 1))).alias("brand_url"),
+        _url((band * 10).cast("string")).alias("band_url"),
+        _url(F.concat(F.lit("SIZE"), F.col("p_size").cast("string"))).alias("size_url"),
+    )
+
+
+def hierarchy_links(t: Tables) -> DataFrame:
+    n = _part_nodes(t)
+    root = F.lit(HIERARCHY_ROOT)
+    cyc = n.where(F.col("p_size") == CYCLE_SIZE)
+    parts = [
+        n.select(root.alias("parent_url"), F.col("type_url").alias("child_url"),
+                 (F.lit(1000) + F.ascii("p_type") * 100 + F.length("p_type")).cast("bigint")
+                 .alias("ordinal")).distinct(),
+        n.select(root.alias("parent_url"), F.col("brand_url").alias("child_url"),
+                 (F.col("brand_n") * 2).cast("bigint").alias("ordinal")).distinct(),
+        n.select(root.alias("parent_url"), F.col("band_url").alias("child_url"),
+                 (F.col("band") * 10 + 3).cast("bigint").alias("ordinal")).distinct(),
+        n.select(F.col("band_url").alias("parent_url"), F.col("size_url").alias("child_url"),
+                 F.col("p_size").cast("bigint").alias("ordinal")).distinct(),
+        n.select(F.col("type_url").alias("parent_url"), F.col("part_url").alias("child_url"),
+                 F.col("p_partkey").alias("ordinal")),
+        n.select(F.col("brand_url").alias("parent_url"), F.col("part_url").alias("child_url"),
+                 F.col("p_partkey").alias("ordinal")),
+        n.select(F.col("size_url").alias("parent_url"), F.col("part_url").alias("child_url"),
+                 F.col("p_partkey").alias("ordinal")),
+        cyc.select(F.col("part_url").alias("parent_url"), root.alias("child_url"),
+                   F.lit(0).cast("bigint").alias("ordinal")),
+        cyc.select(F.col("part_url").alias("parent_url"), F.col("band_url").alias("child_url"),
+                   F.lit(1).cast("bigint").alias("ordinal")),
+    ]
+    out = parts[0]
+    for df in parts[1:]:
+        out = out.unionByName(df)
+    return out
+
+
+def _value(col):
+    return F.struct(col.alias("@value"))
+
+
+def hierarchy_documents(t: Tables) -> DataFrame:
+    """Landed entity documents (url, doc) as the classification API serves them."""
+    n = _part_nodes(t)
+    spark = t.spark
+    root = spark.range(1).select(
+        F.lit(HIERARCHY_ROOT).alias("url"),
+        F.to_json(F.struct(_value(F.lit("ICD-10 release 2019")).alias("title"))).alias("doc"))
+    types = n.select("type_url", "p_type").distinct().select(
+        F.col("type_url").alias("url"),
+        F.to_json(F.struct(F.concat(F.lit("T-"), F.col("p_type")).alias("code"),
+                           _value(F.col("p_type")).alias("title"),
+                           _value(F.concat(F.lit("Parts of type "), F.col("p_type")))
+                           .alias("definition"))).alias("doc"))
+    brands = n.select("brand_url", "brand_n", "p_brand").distinct().select(
+        F.col("brand_url").alias("url"),
+        F.to_json(F.struct(F.concat(F.lit("BRAND"), F.col("brand_n").cast("string")).alias("code"),
+                           _value(F.col("p_brand")).alias("title"),
+                           F.concat(F.lit("Brand number "), F.col("brand_n").cast("string"))
+                           .alias("definition"))).alias("doc"))
+    bands = n.select("band_url", "band").distinct().select(
+        F.col("band_url").alias("url"),
+        F.to_json(F.struct(_value(F.concat(F.lit("Sizes from "),
+                                           (F.col("band") * 10 + 1).cast("string")))
+                           .alias("title"))).alias("doc"))
+    sizes = n.select("size_url", "p_size").distinct().select(
+        F.col("size_url").alias("url"),
+        F.to_json(F.struct(F.concat(F.lit("SIZE"), F.col("p_size").cast("string")).alias("code"),
+                           _value(F.concat(F.lit("Size "), F.col("p_size").cast("string")))
+                           .alias("title"))).alias("doc"))
+    parts = n.select(
+        F.col("part_url").alias("url"),
+        F.to_json(F.struct(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("code"),
+                           _value(F.col("p_name")).alias("title"),
+                           _value(F.col("p_type")).alias("definition"))).alias("doc"))
+    return root.unionByName(types).unionByName(brands).unionByName(bands) \
+        .unionByName(sizes).unionByName(parts)
+
+
+def icd_from_hierarchy(t: Tables) -> DataFrame:
+    """A15 + A16: parse the landed documents and flatten the hierarchy."""
+    from pluvial.sources.hierarchy import flatten, parse_entities
+
+    entities = parse_entities(hierarchy_documents(t))
+    return flatten(t.spark, entities, hierarchy_links(t), HIERARCHY_ROOT)
