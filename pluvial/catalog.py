@@ -121,6 +121,27 @@ def _raw(fn) -> Query:
     return run
 
 
+_BUNDLE_KEYS = {"patients": "id", "encounters": "encounter_id", "conditions": "condition_id"}
+
+
+def _bundle(kind: str) -> Query:
+    """Round trip: land the raw rows as bundles, ingest them back (scan,
+    route, parse, quarantine) and load with first-wins into an empty table."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from pluvial.operators.upsert import first_wins
+        from pluvial.session import scratch_path
+        from pluvial.sources import bundles as B
+
+        apply_conf(spark)
+        raw = RawLayer(spark, sf_dir)
+        out = B.write_bundles(raw.patients, raw.encounters, raw.conditions,
+                              scratch_path(spark, "bundles"))
+        table = getattr(B.Ingest(spark, out, layout="lines", glob="*.txt"), kind)
+        return B.without_lineage(first_wins(table, [_BUNDLE_KEYS[kind]], B.LINEAGE))
+    run.__name__ = f"bundle_{kind}"
+    return run
+
+
 def _dq(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_conf(spark)
@@ -165,6 +186,10 @@ QUERIES: dict[str, Query] = {
     # upserts
     "upsert_ignore": _raw(D.conditions_after_reload),
     "upsert_replace": _raw(D.icd_after_revision),
+    # bundle ingestion (JSON round trip)
+    "bundle_patients": _bundle("patients"),
+    "bundle_encounters": _bundle("encounters"),
+    "bundle_conditions": _bundle("conditions"),
     # code hierarchy
     "hierarchy_bfs": _raw(D.icd_from_hierarchy),
     # data quality

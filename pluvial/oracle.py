@@ -563,6 +563,10 @@ SELECT e.code, e.title, e.description,
        f.depth
 FROM first_seen f JOIN entities e ON e.url = f.url"""
 
+FINAL["bundle_patients"] = "SELECT * FROM raw_patients"
+FINAL["bundle_encounters"] = "SELECT * FROM raw_encounters"
+FINAL["bundle_conditions"] = "SELECT * FROM raw_conditions"
+
 _DQ_PARTS = {
     "dq_not_null": _dq_not_null,
     "dq_unique": _dq_unique,
