@@ -142,6 +142,39 @@ def _bundle(kind: str) -> Query:
     return run
 
 
+def stream_weather_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2: observations land as several files; an availableNow stream
+    upserts them batch by batch into the raw weather table."""
+    from pluvial.session import scratch_path
+    from pluvial.streaming import landing as L
+
+    apply_conf(spark)
+    base = scratch_path(spark, "weather-stream")
+    landing, target = f"{base}/landing", f"{base}/target"
+    D.weather_observations(Tables(spark, sf_dir)).repartitionByRange(4, "date") \
+        .write.parquet(landing)
+    L.run_to_end(L.land_weather_stream(spark, landing, target, f"{base}/checkpoint"))
+    return spark.read.parquet(target).select(
+        "lat", "lon", "date", "tavg", "tmin", "tmax", "prcp", "pres")
+
+
+def stream_bundle_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1: bundles land as several JSON-lines files; an availableNow stream
+    parses, quarantines and loads patients, encounters, then conditions."""
+    from pluvial.session import scratch_path
+    from pluvial.sources import bundles as B
+    from pluvial.streaming import landing as L
+
+    apply_conf(spark)
+    raw = RawLayer(spark, sf_dir)
+    base = scratch_path(spark, "bundle-stream")
+    landing, target = f"{base}/landing", f"{base}/target"
+    B.write_bundles(raw.patients, raw.encounters, raw.conditions, landing, n_files=4)
+    L.run_to_end(L.land_bundle_stream(spark, landing, target, f"{base}/checkpoint",
+                                      glob="*.txt"))
+    return spark.read.parquet(f"{target}/conditions")
+
+
 def _dq(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_conf(spark)
@@ -190,6 +223,9 @@ QUERIES: dict[str, Query] = {
     "bundle_patients": _bundle("patients"),
     "bundle_encounters": _bundle("encounters"),
     "bundle_conditions": _bundle("conditions"),
+    # streaming landing
+    "stream_weather_landing": stream_weather_landing,
+    "stream_bundle_conditions": stream_bundle_conditions,
     # code hierarchy
     "hierarchy_bfs": _raw(D.icd_from_hierarchy),
     # data quality

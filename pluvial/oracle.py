@@ -567,6 +567,9 @@ FINAL["bundle_patients"] = "SELECT * FROM raw_patients"
 FINAL["bundle_encounters"] = "SELECT * FROM raw_encounters"
 FINAL["bundle_conditions"] = "SELECT * FROM raw_conditions"
 
+FINAL["stream_weather_landing"] = "SELECT lat, lon, date, tavg, tmin, tmax, prcp, pres FROM raw_weather"
+FINAL["stream_bundle_conditions"] = "SELECT * FROM raw_conditions"
+
 _DQ_PARTS = {
     "dq_not_null": _dq_not_null,
     "dq_unique": _dq_unique,

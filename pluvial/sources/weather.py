@@ -53,11 +53,15 @@ def surrogate_key(lat: Column | str = "lat", lon: Column | str = "lon",
                       F.col(day) if isinstance(day, str) else day)
 
 
-def clean_observations(obs: DataFrame) -> DataFrame:
-    """NaN -> NULL, drop days with tavg, prcp and pres all missing, add ``id``."""
-    cleaned = obs.select("lat", "lon", "date", *[nan_to_null(m).alias(m) for m in MEASURES])
+def clean_observations(obs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """NaN -> NULL, drop days with tavg, prcp and pres all missing, add ``id``.
+
+    ``keep`` names extra columns (e.g. load-order lineage) carried through.
+    """
+    cleaned = obs.select("lat", "lon", "date", *[nan_to_null(m).alias(m) for m in MEASURES],
+                         *keep)
     cleaned = cleaned.na.drop(how="all", subset=list(KEY_MEASURES))
-    return cleaned.select(surrogate_key().alias("id"), "lat", "lon", "date", *MEASURES)
+    return cleaned.select(surrogate_key().alias("id"), "lat", "lon", "date", *MEASURES, *keep)
 
 
 def coverage_gaps(plan: DataFrame, weather: DataFrame) -> DataFrame:
