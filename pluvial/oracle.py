@@ -289,7 +289,8 @@ GROUP BY p.state, p.city""",
     "k_rainy_day_share": """
 SELECT state, city, count(prcp) AS known_days,
        count(*) FILTER (WHERE prcp > 0) AS rainy_days,
-       round(100.0 * count(*) FILTER (WHERE prcp > 0) / count(prcp), 6) AS rainy_day_pct
+       round(CASE WHEN count(prcp) <> 0
+                  THEN 100.0 * count(*) FILTER (WHERE prcp > 0) / count(prcp) END, 6) AS rainy_day_pct
 FROM weather_region_day GROUP BY state, city""",
     "k_top_diagnoses_by_region": """
 SELECT state, city, diagnosis_rank, condition_display, n_diagnoses FROM (
@@ -347,7 +348,7 @@ FROM (
 GROUP BY factor""",
     "k_icd_validation": """
 SELECT c.condition_code_system, count(*) AS n_conditions, count(i.code) AS n_icd_matched,
-       round(100.0 * count(i.code) / count(*), 6) AS match_pct
+       round(CASE WHEN count(*) <> 0 THEN 100.0 * count(i.code) / count(*) END, 6) AS match_pct
 FROM stg_conditions c LEFT JOIN stg_icd_codes i ON i.code = c.condition_code
 GROUP BY c.condition_code_system""",
     "k_dim_region": """

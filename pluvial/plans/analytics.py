@@ -106,8 +106,8 @@ def rainy_day_share(region_day_weather: DataFrame) -> DataFrame:
             F.count(F.when(F.col("prcp") > 0, 1)).alias("rainy_days"),
         )
         .select(*REGION, "known_days", "rainy_days",
-                F.round(F.lit(100.0) * F.col("rainy_days") / F.col("known_days"), ROUND)
-                .alias("rainy_day_pct"))
+                F.round(stats.safe_div(F.lit(100.0) * F.col("rainy_days"), F.col("known_days")),
+                        ROUND).alias("rainy_day_pct"))
     )
 
 
@@ -231,8 +231,8 @@ def icd_validation(stg_conditions: DataFrame, stg_icd_codes: DataFrame) -> DataF
         .agg(F.count(F.lit(1)).alias("n_conditions"),
              F.count("_known").alias("n_icd_matched"))
         .select("condition_code_system", "n_conditions", "n_icd_matched",
-                F.round(F.lit(100.0) * F.col("n_icd_matched") / F.col("n_conditions"), ROUND)
-                .alias("match_pct"))
+                F.round(stats.safe_div(F.lit(100.0) * F.col("n_icd_matched"),
+                                       F.col("n_conditions")), ROUND).alias("match_pct"))
     )
 
 
