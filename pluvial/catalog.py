@@ -176,9 +176,10 @@ def stream_bundle_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dq(fn) -> Query:
+    """Checks run over the landed raw tables (derived once, then read back)."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_conf(spark)
-        return fn(RawLayer(spark, sf_dir))
+        return fn(RawLayer(spark, sf_dir).landed())
     run.__name__ = fn.__name__
     return run
 

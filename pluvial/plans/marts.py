@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pluvial.operators.joins import left_join_splittable
 from pluvial.functions.exprs import (
     age_today, is_weekend, padded_day_name, padded_month_name, rain_category, season,
     temp_category, utc_date,
@@ -101,4 +102,4 @@ def fct_encounters(int_encounters_weather: DataFrame, stg_conditions: DataFrame)
         "patient_id", "encounter_id", "condition_id", "condition_code", "condition_display",
         "is_chronic", "clinical_status", "onset_datetime", "abatement_datetime")
     e = int_encounters_weather.withColumn("encounter_date", utc_date("period_start"))
-    return e.join(c, ["patient_id", "encounter_id"], "left").select(*FACT_COLUMNS)
+    return left_join_splittable(e, c, ["patient_id", "encounter_id"]).select(*FACT_COLUMNS)

@@ -71,3 +71,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if root.startswith("file:"):
         root = root[len("file:"):]
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def reliable_checkpoint(df):
+    """Cut lineage by writing ``df`` to the shared checkpoint folder.
+
+    The rows are persisted first so they are computed once (not once for
+    the count and again for the write), then unpersisted.
+    """
+    checkpoint_root(df.sparkSession)
+    cached = df.persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out

@@ -246,6 +246,17 @@ class RawLayer:
     def icd_codes(self) -> DataFrame:
         return icd_codes(self.tables)
 
+    def landed(self):
+        """The five raw tables written once to the shared checkpoint folder
+        (what jobs downstream of landing read), as attributes."""
+        from types import SimpleNamespace
+
+        from pluvial.session import reliable_checkpoint
+
+        return SimpleNamespace(**{name: reliable_checkpoint(getattr(self, name))
+                                  for name in ("patients", "encounters", "conditions",
+                                               "weather", "icd_codes")})
+
 
 # --- upsert scenarios (B1, B2) ---------------------------------------------------
 # The first condition load held lines shipped before this day; the next batch

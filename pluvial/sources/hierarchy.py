@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pluvial.functions.exprs import code_from_url
-from pluvial.session import checkpoint_root
+from pluvial.session import reliable_checkpoint
 
 ENTITY_SCHEMA = "code string, title struct<`@value`: string>, definition string"
 
@@ -55,13 +55,7 @@ def parse_entities(docs: DataFrame, url_col: str = "url", doc_col: str = "doc")
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (shared folder); persisted first so the rows are
-    computed once, not once for the count and again for the write."""
-    checkpoint_root(df.sparkSession)
-    df = df.persist()
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
+    return reliable_checkpoint(df)
 
 
 # The visited set is a union of checkpointed levels; every few levels it is
