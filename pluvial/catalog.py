@@ -82,6 +82,10 @@ def k_weather_correlation(spark, sf_dir):
     return K.weather_correlation(_panel(_wh(spark, sf_dir)))
 
 
+def k_weather_spearman(spark, sf_dir):
+    return K.weather_spearman(_panel(_wh(spark, sf_dir)))
+
+
 def k_icd_validation(spark, sf_dir):
     wh = _wh(spark, sf_dir)
     return K.icd_validation(wh.stg_conditions, wh.stg_icd_codes)
@@ -210,6 +214,7 @@ QUERIES: dict[str, Query] = {
     "k_fact_pain_weather_analysis": k_fact_pain_weather_analysis,
     "k_rain_effect": k_rain_effect,
     "k_weather_correlation": k_weather_correlation,
+    "k_weather_spearman": k_weather_spearman,
     "k_icd_validation": k_icd_validation,
     "k_dim_region": k_dim_region,
     "k_dim_diagnosis": k_dim_diagnosis,

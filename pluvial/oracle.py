@@ -571,6 +571,24 @@ FINAL["bundle_conditions"] = "SELECT * FROM raw_conditions"
 FINAL["stream_weather_landing"] = "SELECT lat, lon, date, tavg, tmin, tmax, prcp, pres FROM raw_weather"
 FINAL["stream_bundle_conditions"] = "SELECT * FROM raw_conditions"
 
+FINAL["k_weather_spearman"] = """
+, factor_pairs AS (
+  SELECT * FROM (
+    SELECT 'tavg' AS factor, tavg AS x, CAST(pain_patients AS DOUBLE) AS y FROM region_panel
+    UNION ALL SELECT 'prcp', prcp, CAST(pain_patients AS DOUBLE) FROM region_panel
+    UNION ALL SELECT 'pres', pres, CAST(pain_patients AS DOUBLE) FROM region_panel)
+  WHERE x IS NOT NULL AND y IS NOT NULL
+),
+ranked AS (
+  SELECT factor,
+         rank() OVER (PARTITION BY factor ORDER BY x)
+           + (count(*) OVER (PARTITION BY factor, x) - 1) / 2.0 AS rx,
+         rank() OVER (PARTITION BY factor ORDER BY y)
+           + (count(*) OVER (PARTITION BY factor, y) - 1) / 2.0 AS ry
+  FROM factor_pairs
+)
+SELECT factor, count(*) AS n, round(corr(rx, ry), 6) AS spearman_rho FROM ranked GROUP BY factor"""
+
 _DQ_PARTS = {
     "dq_not_null": _dq_not_null,
     "dq_unique": _dq_unique,

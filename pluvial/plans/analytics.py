@@ -219,6 +219,20 @@ def weather_correlation(panel: DataFrame, target: str = "pain_patients",
     return stats.pairwise_regression(long, "factor", "x", "y", ROUND)
 
 
+def weather_spearman(panel: DataFrame, target: str = "pain_patients",
+                     factors: Sequence[str] = WEATHER_FACTORS) -> DataFrame:
+    """Spearman's rank correlation of each weather factor with the region-day
+    pain count (ranks from a distributed prefix sum, see ``operators.ranks``)."""
+    from pluvial.operators.ranks import spearman
+
+    long = panel.select(
+        F.col(target).cast("double").alias("y"),
+        F.explode(F.array(*[F.struct(F.lit(f).alias("factor"), F.col(f).cast("double").alias("x"))
+                            for f in factors])).alias("fx"),
+    ).select("fx.factor", "fx.x", "y")
+    return spearman(long, "factor", "x", "y", ROUND)
+
+
 # K7 ---------------------------------------------------------------------------
 def icd_validation(stg_conditions: DataFrame, stg_icd_codes: DataFrame) -> DataFrame:
     """Share of diagnosis events whose code is a known ICD-10 code, per coding system."""

@@ -68,3 +68,11 @@ def test_chi_square_matches_ml_test(spark):
                              "features", "label").collect()[0]
     assert abs(mine.chi2 - ref.statistics[0]) < 1e-6
     assert abs(mine.p_value - ref.pValues[0]) < 1e-6
+
+
+def test_average_ranks_handle_ties_and_groups(spark):
+    from pluvial.operators.ranks import average_ranks
+    vals = [("a", 1.0), ("a", 2.0), ("a", 2.0), ("a", 5.0), ("b", 3.0), ("b", 3.0), ("a", None)]
+    df = spark.createDataFrame(vals, "g string, x double")
+    got = {(r.g, r.x): r.rank for r in average_ranks(df, "x", ["g"], partitions=3).collect()}
+    assert got == {("a", 1.0): 1.0, ("a", 2.0): 2.5, ("a", 5.0): 4.0, ("b", 3.0): 1.5}
