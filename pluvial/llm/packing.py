@@ -198,7 +198,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, with_ids: bool = False)
         .withColumn("last", F.expr("at >= filled AND nth >= rests - rests % class")))
     # fewer pieces than the sum of the classes' numbers: a few thousand
     left = (numbered.where("last").select("worker", "class", "at", "length")
-            .groupBy(F.lit(0)).applyInPandas(
+            .groupBy().applyInPandas(
                 _first_fit, "worker int, class int, at long, left_bin long, left_slot long"))
     numbered = (
         numbered.join(F.broadcast(left), ["worker", "class", "at"], "left")
