@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -47,11 +47,11 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, as a URI.
 
-    On a cluster this is set by the deployment and must be a shared file
-    system.  Only when it is unset (tests, local runs) a private folder under
-    the local temp dir is created and registered.
+    On a cluster the deployment must set it, to a file system that driver and
+    executors share; without it this raises.  Only in local mode, where all
+    tasks run on the driver's machine, is a private folder made and registered.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,6 +59,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="pluvial-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -67,10 +69,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    root = checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def reliable_checkpoint(df):
