@@ -22,8 +22,8 @@ _OP8 = """
 WITH RECURSIVE ok AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
   WHERE embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 link AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
     ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95),
