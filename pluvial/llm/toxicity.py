@@ -21,7 +21,7 @@ scores, and an empty table gives an empty result.
 
 from __future__ import annotations
 
-import zlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,17 +41,72 @@ PASSAGE = 8
 SAMPLE_PER_CLASS = 1500
 CLEAN_PASSAGES = 20_000
 BATCH, LEAST_PASSAGES, SMOOTHING = 128, 60_000, 2.0
-CACHE_WORDS = 500_000
 THRESHOLD = 0.3
 
-_EDGE = ".,;:!?\"'()[]{}<>«»„“”‘’…"
-
-
-def subwords(word: str) -> list[int]:
-    """Buckets of the word itself and of its character n-grams, edges marked."""
-    marked = f"<{word.strip(_EDGE).lower()}>"
-    grams = [marked[i:i + n] for n in ORDERS for i in range(len(marked) - n + 1)]
-    return [zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in (*grams, marked)]
+CHUNK = 1 << 18     # characters read at once
+
+_EDGE = np.zeros(0x110000, bool)
+_EDGE[[ord(c) for c in ".,;:!?\"'()[]{}<>«»„“”‘’…"]] = True
+_BASE = np.uint64(0x100000001B3)
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+_SHIFT = np.uint64(64 - (BUCKETS.bit_length() - 1))
+_SPACE = re.compile(r"\s")
+
+
+def _chunks(text: str) -> Iterator[str]:
+    """The text in parts of about CHUNK characters, cut at white space."""
+    at = 0
+    while len(text) - at > CHUNK:
+        space = _SPACE.search(text, at + CHUNK)
+        if space is None:
+            break
+        yield text[at:space.start()]
+        at = space.end()
+    yield text[at:]
+
+
+class Words:
+    """The words of a text, marked <word>, one after the other as code points."""
+
+    def __init__(self, text: str) -> None:
+        words = text.lower().split()
+        code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        end = np.cumsum(length)
+        start = end - length
+        if len(words):   # leave marks at a word's edges out
+            at = np.arange(len(code))
+            inner = ~_EDGE[code]
+            first = np.minimum.reduceat(np.where(inner, at, len(code)), start)
+            last = np.maximum.reduceat(np.where(inner, at, -1), start)
+            length = np.maximum(last - first + 1, 0)
+            start = np.where(length > 0, first, start)
+        self.size = length + 2
+        self.start = np.cumsum(self.size) - self.size
+        self.word = np.repeat(np.arange(len(words)), self.size)
+        self.at = np.arange(len(self.word)) - self.start[self.word]
+        inside = (self.at > 0) & (self.at <= length[self.word])
+        self.code = np.where(self.at == 0, np.uint64(ord("<")), np.uint64(ord(">")))
+        self.code[inside] = code[(start[self.word] + self.at - 1)[inside]]
+
+    def grams(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(bucket, place) of the n-grams of each order, then of whole words."""
+        total, power = np.zeros(len(self.code), np.uint64), 1
+        left = self.size[self.word] - self.at     # characters from here to the word's end
+        for n in range(1, max(ORDERS) + 1):
+            total[:len(total) - n + 1] += self.code[n - 1:] * np.uint64(power)
+            power = power * int(_BASE) % (1 << 64)
+            if n in ORDERS:
+                place = np.flatnonzero(left >= n)
+                yield (((total[place] + np.uint64(n)) * _SPREAD) >> _SHIFT).astype(np.int64), place
+        yield self.whole(), self.start
+
+    def whole(self) -> np.ndarray:
+        """A bucket number of each word as a whole."""
+        if not len(self.start):
+            return np.empty(0, np.int64)
+        powers = np.cumprod(np.full(int(self.size.max()), _BASE, np.uint64))
+        return ((np.add.reduceat(self.code * powers[self.at], self.start) * _SPREAD) >> _SHIFT).astype(np.int64)
 
 
 @dataclass
@@ -61,9 +116,6 @@ class ToxicityModel:
     slope: float
     shift: float
 
-    def word(self, word: str) -> float:
-        return float(self.bucket[subwords(word)].mean())
-
     def score(self, margins) -> np.ndarray:
         return sigmoid(self.slope * np.asarray(margins, float) + self.shift)
 
@@ -76,28 +128,33 @@ def passage_means(values: np.ndarray, width: int = PASSAGE) -> np.ndarray:
     return (total[width:] - total[:-width]) / width
 
 
-def words_of(text: str) -> list[str]:
-    """White-space words; a word repeated at once counts once per run."""
-    words = text.split()
-    return [w for w, before in zip(words, [None, *words]) if w != before]
+def _unrepeated(whole: np.ndarray) -> np.ndarray:
+    """False where a word repeats the one before: a run counts once."""
+    first = np.ones(len(whole), bool)
+    first[1:] = whole[1:] != whole[:-1]
+    return first
 
 
-class Reader:
-    """Margins of texts under a model; numbers of words seen before are kept."""
-
-    def __init__(self, model: ToxicityModel) -> None:
-        self.model, self.known = model, {}
+def word_values(text: str, bucket: np.ndarray) -> np.ndarray:
+    """Mean of its n-grams' numbers for each word of a text."""
+    values, wholes = [], []
+    for part in _chunks(text):
+        words = Words(part)
+        if not len(words.start):
+            continue
+        total, n = np.zeros(len(words.code)), np.zeros(len(words.code))
+        for b, place in words.grams():
+            total[place] += bucket[b]
+            n[place] += 1
+        values.append(np.add.reduceat(total, words.start) / np.add.reduceat(n, words.start))
+        wholes.append(b)
+    if not values:
+        return np.empty(0)
+    return np.concatenate(values)[_unrepeated(np.concatenate(wholes))]
 
-    def _new(self, word: str) -> float:
-        if len(self.known) >= CACHE_WORDS:
-            self.known.clear()
-        self.known[word] = value = self.model.word(word)
-        return value
 
-    def margin(self, text: str) -> float:
-        known, words = self.known, words_of(text)
-        values = np.array([known[w] if w in known else self._new(w) for w in words], float)
-        return float(passage_means(values).max()) + self.model.offset
+def margin(text: str, model: ToxicityModel) -> float:
+    return float(passage_means(word_values(text, model.bucket)).max()) + model.offset
 
 
 class _Sample:
@@ -105,20 +162,23 @@ class _Sample:
 
     def __init__(self, texts: list[str], label: np.ndarray) -> None:
         index: dict[str, int] = {}
-        words, doc = [], []
-        for d, text in enumerate(texts):
-            ids = [index.setdefault(w, len(index)) for w in words_of(text)]
-            words.append(np.array(ids, np.int64))
-            doc.append(np.full(len(ids), d, np.int64))
-        grams = [subwords(w) for w in index]
+        self.docs = []
+        for text in texts:
+            ids = np.array([index.setdefault(w, len(index)) for w in text.split()], np.int64)
+            self.docs.append(ids)
+        words = Words(" ".join(index))
+        found = list(words.grams())
+        whole = found[-1][0] if index else np.empty(0, np.int64)
+        self.docs = [ids[_unrepeated(whole[ids])] for ids in self.docs]
+        buckets = np.concatenate([b for b, _ in found])
+        of = np.concatenate([words.word[p] for _, p in found])
+        self.gram = np.append(buckets[np.argsort(of, kind="stable")], 0)
+        self.gram_n = np.bincount(of, minlength=1)
+        self.gram_at = np.cumsum(self.gram_n) - self.gram_n
         self.label = label
-        self.gram_n = np.array([len(g) for g in grams] or [1], np.int64)
-        self.gram_at = np.concatenate(([0], np.cumsum(self.gram_n)))[:-1]
-        self.gram = np.array([b for g in grams for b in g] or [0], np.int64)
-        self.docs = words
 
     def word_values(self, bucket: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(bucket[self.gram], self.gram_at) / self.gram_n
+        return np.add.reduceat(bucket[self.gram], self.gram_at) / np.maximum(self.gram_n, 1)
 
     def grams_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(buckets, their weight, position of their word) of a run of words."""
@@ -227,9 +287,8 @@ def fit(texts: list[str], label: np.ndarray, rate: float | None = None, seed: in
     first = _first_values(sample)
     bucket, offset = _learn(sample, _passages(sample, [first[y] for y in sample.label], rng), rng)
     model = ToxicityModel(bucket, offset, 1.0, 0.0)
-    reader = Reader(model)
     model.slope, model.shift = fit_logistic(
-        np.array([reader.margin(t) for t, k in zip(texts, kept) if k]), label[kept],
+        np.array([margin(t, model) for t, k in zip(texts, kept) if k]), label[kept],
         float(label.mean()) if rate is None else rate)
     return model
 
@@ -249,9 +308,8 @@ def classify(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD
 
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        reader = Reader(shared.value)
         for part in texts:
-            yield pd.Series(shared.value.score([reader.margin(t) for t in part]))
+            yield pd.Series(shared.value.score([margin(t, shared.value) for t in part]))
 
     return (plain_documents(docs).select("doc_id", score("text").alias("score"))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
