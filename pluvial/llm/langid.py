@@ -24,8 +24,6 @@ and without any labelled text the language is null.
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,6 +34,7 @@ from pyspark.sql import functions as F
 
 from pluvial.llm.common import hash_fraction, held_out, materialize, table
 from pluvial.llm.extract import best_container, host_of, read_page, text_at
+from pluvial.llm.ngrams import Words, chunks
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -43,45 +42,32 @@ ORDERS = (1, 2, 3)
 SAMPLE_PER_LANGUAGE = 1000
 TEMPER = 0.25
 SMOOTH_COUNT, SMOOTH_HOST, SMOOTH_DECLARED = 0.5, 5.0, 1.0
-CACHE_WORDS = 400_000
 _HTML_LANG = r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]{2,3})(?![A-Za-z])"
-_EDGE = ".,;:!?\"'()[]{}<>«»„“”‘’…#$%&*|="
 
 
-def grams(word: str) -> list[int]:
-    marked = f"<{word.strip(_EDGE).lower()}>"
-    if len(marked) == 2:
-        return []
-    return [zlib.crc32(marked[i:i + n].encode("utf-8", "replace")) % BUCKETS
-            for n in ORDERS for i in range(len(marked) - n + 1) if marked[i:i + n] not in ("<", ">")]
+def gram_blocks(text: str) -> Iterator[np.ndarray]:
+    """Buckets of the n-grams of a text's words, in blocks; edges are marked."""
+    for part in chunks(text):
+        words = Words(part)
+        # an edge mark alone, and words of marks only, say nothing
+        edge = (words.at == 0) | (words.at == words.size[words.word] - 1)
+        bare = words.size[words.word] == 2
+        for n, (bucket, place) in zip((*ORDERS, 0), words.grams(ORDERS, BUCKETS)):
+            if n:
+                yield bucket[~(bare[place] | (edge[place] if n == 1 else False))]
 
 
 @dataclass
 class TextModel:
     languages: list[str]
-    log_share: np.ndarray     # languages x buckets
-
-    def reader(self):
-        known: dict[str, int] = {}
-        rows = np.zeros((1024, len(self.languages)))
-
-        def of(text: str) -> np.ndarray:
-            """Tempered log likelihood of a text in each language."""
-            nonlocal rows
-            if len(known) >= CACHE_WORDS:
-                known.clear()
-            at = []
-            for word in text.split():
-                i = known.get(word)
-                if i is None:
-                    i = known[word] = len(known)
-                    if i >= len(rows):
-                        rows = np.concatenate([rows, np.zeros_like(rows)])
-                    g = grams(word)
-                    rows[i] = self.log_share[:, g].sum(axis=1) if g else 0.0
-                at.append(i)
-            return TEMPER * rows[at].sum(axis=0) if at else np.zeros(len(self.languages))
-        return of
+    log_share: np.ndarray     # buckets x languages
+
+    def likelihood(self, text: str) -> np.ndarray:
+        """Tempered log likelihood of a text in each language."""
+        total = np.zeros(len(self.languages))
+        for bucket in gram_blocks(text):
+            total += self.log_share[bucket].sum(axis=0)
+        return TEMPER * total
 
 
 def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> TextModel:
@@ -90,18 +76,17 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> TextModel
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
-        return TextModel([], np.zeros((0, BUCKETS)))
+        return TextModel([], np.zeros((BUCKETS, 0)))
     rate = F.coalesce(*[F.when(F.col("lang") == l, F.lit(min(1.0, per_language / n)))
                         for l, n in sizes.items()], F.lit(0.0))
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[str, np.ndarray] = {}
         for pdf in frames:
-            for lang, texts in pdf.groupby("lang")["text"]:
-                words = Counter(w for t in texts for w in t.split())
+            for lang, text in zip(pdf["lang"], pdf["text"]):
                 total = held.setdefault(lang, np.zeros(BUCKETS, np.int64))
-                for word, n in words.items():
-                    np.add.at(total, grams(word), n)
+                for bucket in gram_blocks(text):
+                    total += np.bincount(bucket, minlength=BUCKETS)
         for lang, n in held.items():
             at = np.flatnonzero(n)
             yield pd.DataFrame({"lang": lang, "bucket": at, "n": n[at]})
@@ -114,7 +99,7 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> TextModel
     row = {l: i for i, l in enumerate(languages)}
     np.add.at(total, ([row[l] for l in counts.column("lang").to_pylist()],
                       counts.column("bucket").to_numpy()), counts.column("n").to_numpy())
-    return TextModel(languages, np.log(total / total.sum(axis=1, keepdims=True)))
+    return TextModel(languages, np.ascontiguousarray(np.log(total / total.sum(axis=1, keepdims=True)).T))
 
 
 def _likelihood(model: TextModel, column: Column, spark, of_html: bool) -> Column:
@@ -122,7 +107,7 @@ def _likelihood(model: TextModel, column: Column, spark, of_html: bool) -> Colum
 
     @F.pandas_udf("array<double>")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        of = shared.value.reader()
+        of = shared.value.likelihood
         for part in parts:
             texts = part
             if of_html:

@@ -21,7 +21,6 @@ scores, and an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,6 +31,7 @@ from pyspark.sql import functions as F
 
 from pluvial.llm.calibration import fit_logistic, sigmoid
 from pluvial.llm.common import held_out, labelled_sample, plain_documents, table
+from pluvial.llm.ngrams import Words, chunks
 
 BUCKETS = 1 << 20
 ORDERS = (3, 4, 5)
@@ -43,71 +43,6 @@ CLEAN_PASSAGES = 20_000
 BATCH, LEAST_PASSAGES, SMOOTHING = 128, 60_000, 2.0
 THRESHOLD = 0.3
 
-CHUNK = 1 << 18     # characters read at once
-
-_EDGE = np.zeros(0x110000, bool)
-_EDGE[[ord(c) for c in ".,;:!?\"'()[]{}<>«»„“”‘’…"]] = True
-_BASE = np.uint64(0x100000001B3)
-_SPREAD = np.uint64(0x9E3779B97F4A7C15)
-_SHIFT = np.uint64(64 - (BUCKETS.bit_length() - 1))
-_SPACE = re.compile(r"\s")
-
-
-def _chunks(text: str) -> Iterator[str]:
-    """The text in parts of about CHUNK characters, cut at white space."""
-    at = 0
-    while len(text) - at > CHUNK:
-        space = _SPACE.search(text, at + CHUNK)
-        if space is None:
-            break
-        yield text[at:space.start()]
-        at = space.end()
-    yield text[at:]
-
-
-class Words:
-    """The words of a text, marked <word>, one after the other as code points."""
-
-    def __init__(self, text: str) -> None:
-        words = text.lower().split()
-        code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-        length = np.fromiter(map(len, words), np.int64, len(words))
-        end = np.cumsum(length)
-        start = end - length
-        if len(words):   # leave marks at a word's edges out
-            at = np.arange(len(code))
-            inner = ~_EDGE[code]
-            first = np.minimum.reduceat(np.where(inner, at, len(code)), start)
-            last = np.maximum.reduceat(np.where(inner, at, -1), start)
-            length = np.maximum(last - first + 1, 0)
-            start = np.where(length > 0, first, start)
-        self.size = length + 2
-        self.start = np.cumsum(self.size) - self.size
-        self.word = np.repeat(np.arange(len(words)), self.size)
-        self.at = np.arange(len(self.word)) - self.start[self.word]
-        inside = (self.at > 0) & (self.at <= length[self.word])
-        self.code = np.where(self.at == 0, np.uint64(ord("<")), np.uint64(ord(">")))
-        self.code[inside] = code[(start[self.word] + self.at - 1)[inside]]
-
-    def grams(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(bucket, place) of the n-grams of each order, then of whole words."""
-        total, power = np.zeros(len(self.code), np.uint64), 1
-        left = self.size[self.word] - self.at     # characters from here to the word's end
-        for n in range(1, max(ORDERS) + 1):
-            total[:len(total) - n + 1] += self.code[n - 1:] * np.uint64(power)
-            power = power * int(_BASE) % (1 << 64)
-            if n in ORDERS:
-                place = np.flatnonzero(left >= n)
-                yield (((total[place] + np.uint64(n)) * _SPREAD) >> _SHIFT).astype(np.int64), place
-        yield self.whole(), self.start
-
-    def whole(self) -> np.ndarray:
-        """A bucket number of each word as a whole."""
-        if not len(self.start):
-            return np.empty(0, np.int64)
-        powers = np.cumprod(np.full(int(self.size.max()), _BASE, np.uint64))
-        return ((np.add.reduceat(self.code * powers[self.at], self.start) * _SPREAD) >> _SHIFT).astype(np.int64)
-
 
 @dataclass
 class ToxicityModel:
@@ -138,12 +73,12 @@ def _unrepeated(whole: np.ndarray) -> np.ndarray:
 def word_values(text: str, bucket: np.ndarray) -> np.ndarray:
     """Mean of its n-grams' numbers for each word of a text."""
     values, wholes = [], []
-    for part in _chunks(text):
+    for part in chunks(text):
         words = Words(part)
         if not len(words.start):
             continue
         total, n = np.zeros(len(words.code)), np.zeros(len(words.code))
-        for b, place in words.grams():
+        for b, place in words.grams(ORDERS, BUCKETS):
             total[place] += bucket[b]
             n[place] += 1
         values.append(np.add.reduceat(total, words.start) / np.add.reduceat(n, words.start))
@@ -167,7 +102,7 @@ class _Sample:
             ids = np.array([index.setdefault(w, len(index)) for w in text.split()], np.int64)
             self.docs.append(ids)
         words = Words(" ".join(index))
-        found = list(words.grams())
+        found = list(words.grams(ORDERS, BUCKETS))
         whole = found[-1][0] if index else np.empty(0, np.int64)
         self.docs = [ids[_unrepeated(whole[ids])] for ids in self.docs]
         buckets = np.concatenate([b for b, _ in found])
