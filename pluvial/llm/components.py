@@ -28,7 +28,7 @@ def _sign(edges: DataFrame) -> tuple:
 
 
 def connected_components(edges: DataFrame, a: str, b: str, name: str = "cc") -> DataFrame:
-    """(node, component) of every node that has a link to another one.
+    """(node, component) of every node but the smallest of its component.
 
     ``a``/``b``: long columns; component: the smallest node reachable.  Loops,
     repeated links and null ends say nothing.  An empty table gives an empty

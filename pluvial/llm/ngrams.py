@@ -64,7 +64,8 @@ class Words:
         total, power = np.zeros(len(self.code), np.uint64), 1
         left = self.size[self.word] - self.at     # characters from here to the word's end
         for n in range(1, max(orders) + 1):
-            total[:len(total) - n + 1] += self.code[n - 1:] * np.uint64(power)
+            if n <= len(total):
+                total[:len(total) - n + 1] += self.code[n - 1:] * np.uint64(power)
             power = power * int(_BASE) % (1 << 64)
             if n in orders:
                 place = np.flatnonzero(left >= n)

@@ -117,15 +117,15 @@ def _lowered(text: str) -> str:
 def _hex_spans(text: str) -> Iterator[tuple[int, int]]:
     done = 0
     for probe in _HEX_PROBE.finditer(text[::4]):
-        start = probe.start() * 4
-        if start < done:
-            continue
-        while start > done and text[start - 1] in "0123456789abcdef":
-            start -= 1
-        match = HEX.match(text, start)
-        done = match.end()
-        if done - start >= HEX_LEAST:
-            yield start, done
+        at, last = probe.start() * 4, probe.end() * 4
+        while at < last:   # several runs, if what parts them stands between positions
+            start = at
+            while start > done and text[start - 1] in "0123456789abcdef":
+                start -= 1
+            done = HEX.match(text, start).end()
+            if done - start >= HEX_LEAST:
+                yield start, done
+            at = -(-done // 4) * 4
 
 
 def spans(text: str, keywords: ahocorasick.Automaton) -> list[tuple[str, int, int]]:

@@ -40,7 +40,7 @@ PASSAGE = 8
 #: Training bounds: about this many texts of each class, and this many clean passages a round.
 SAMPLE_PER_CLASS = 1500
 CLEAN_PASSAGES = 20_000
-BATCH, LEAST_PASSAGES, SMOOTHING = 128, 60_000, 2.0
+BATCH, LEAST_PASSAGES, SMOOTHING = 128, 200_000, 2.0
 THRESHOLD = 0.3
 
 
