@@ -155,8 +155,7 @@ def stream_weather_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_conf(spark)
     base = scratch_path(spark, "weather-stream")
     landing, target = f"{base}/landing", f"{base}/target"
-    D.weather_observations(Tables(spark, sf_dir)).repartitionByRange(4, "date") \
-        .write.parquet(landing)
+    D.weather_observations(Tables(spark, sf_dir)).write.parquet(landing)
     L.run_to_end(L.land_weather_stream(spark, landing, target, f"{base}/checkpoint"))
     return spark.read.parquet(target).select(
         "lat", "lon", "date", "tavg", "tmin", "tmax", "prcp", "pres")
@@ -173,7 +172,7 @@ def stream_bundle_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = RawLayer(spark, sf_dir)
     base = scratch_path(spark, "bundle-stream")
     landing, target = f"{base}/landing", f"{base}/target"
-    B.write_bundles(raw.patients, raw.encounters, raw.conditions, landing, n_files=4)
+    B.write_bundles(raw.patients, raw.encounters, raw.conditions, landing)
     L.run_to_end(L.land_bundle_stream(spark, landing, target, f"{base}/checkpoint",
                                       glob="*.txt"))
     return spark.read.parquet(f"{target}/conditions")

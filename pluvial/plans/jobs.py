@@ -26,6 +26,7 @@ from pluvial.operators import quality as Q
 from pluvial.operators.upsert import first_wins, upsert_ignore
 from pluvial.plans import checks
 from pluvial.plans.warehouse import Warehouse
+from pluvial.session import scratch_path
 from pluvial.sources import bundles as B
 from pluvial.sources.weather import clean_observations
 
@@ -57,11 +58,17 @@ def load_bundles(spark: SparkSession, landing: str, raw_dir: str, version: str,
     """Ingest bundles into new versions of the three clinical raw tables.
 
     Parents are written before children (patients, encounters, conditions),
-    and a new version only becomes current once written.
+    and a new version only becomes current once written.  Bundles that cannot
+    be read are stored, with file and reason, as ``rejected_bundles``.
     """
     current = current or {}
-    ing = B.Ingest(spark, landing, layout, glob)
-    out = {}
+    ing = B.Ingest(spark, landing, layout, glob, scratch=scratch_path(spark, "bundles-parsed"))
+    rejected = B.rejects(ing.rejected).withColumn(LOADED_AT, F.current_timestamp())
+    seen = Observation("rejected_bundles")
+    out = {"rejected_bundles": _write_version(
+        rejected.observe(seen, F.count(F.lit(1)).alias("rows")), raw_dir, "rejected_bundles", version)}
+    if seen.get.get("rows"):
+        log.warning("rejected %s bundles, see %s", seen.get["rows"], out["rejected_bundles"])
     for name, schema in (("patients", schemas.PATIENTS), ("encounters", schemas.ENCOUNTERS),
                          ("conditions", schemas.CONDITIONS)):
         key = schemas.KEYS[name]
@@ -77,10 +84,15 @@ def load_bundles(spark: SparkSession, landing: str, raw_dir: str, version: str,
 
 def load_weather(spark: SparkSession, observations: DataFrame, raw_dir: str, version: str,
                  current: str | None = None) -> str:
-    """Cleaned observations upserted into a new version of the weather table."""
+    """Cleaned observations upserted into a new version of the weather table.
+
+    The first row of a key in landing order wins, if the observations carry
+    their file and row number as ``_file`` and ``_row``.
+    """
     target = _read_or_empty(spark, current, schemas.WEATHER)
-    batch = stamp(clean_observations(observations))
-    merged = upsert_ignore(target, batch, schemas.KEYS["weather"], ["id"])
+    lineage = [c for c in ("_file", "_row") if c in observations.columns]
+    batch = stamp(clean_observations(observations, keep=tuple(lineage)))
+    merged = upsert_ignore(target, batch, schemas.KEYS["weather"], lineage or ["id"])
     return _write_version(merged, raw_dir, "weather", version)
 
 

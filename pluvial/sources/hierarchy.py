@@ -19,6 +19,8 @@ checkpoint folder each level, so lineage stays one level deep.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,14 +65,13 @@ def _checkpoint(df: DataFrame) -> DataFrame:
 VISITED_CHECKPOINT_EVERY = 8
 
 
-def walk(spark: SparkSession, links: DataFrame, root_url: str, max_levels: int = 1000) -> DataFrame:
+def walk(spark: SparkSession, links: DataFrame, root_url: str) -> DataFrame:
     """Breadth-first walk: (url, parent_url, depth, path) for every URL
     reachable from ``root_url``; each URL once, with its first discoverer.
 
     Cycles and shared children are harmless: a URL already visited is never
-    re-entered.  The loop runs one level per iteration and stops when a
-    level discovers nothing; it raises rather than truncate if the
-    hierarchy is deeper than ``max_levels``.
+    re-entered.  The loop runs one level per iteration and ends when a level
+    discovers nothing, which the visited set makes certain.
     """
     # the links are read once per level: materialize them once
     edges = _checkpoint(links.select("parent_url", "child_url", "ordinal"))
@@ -79,7 +80,7 @@ def walk(spark: SparkSession, links: DataFrame, root_url: str, max_levels: int =
         F.lit(root_url).alias("url"), F.lit(None).cast("string").alias("parent_url"),
         F.lit(0).alias("depth"), F.array().cast(T.ArrayType(ordinal_type)).alias("path"))
     frontier = visited
-    for level in range(1, max_levels + 1):
+    for level in count(1):
         cand = (frontier.join(edges, frontier.url == edges.parent_url)
                 .select(F.col("child_url").alias("url"), frontier.url.alias("parent_url"),
                         (frontier.depth + 1).alias("depth"),
@@ -95,7 +96,6 @@ def walk(spark: SparkSession, links: DataFrame, root_url: str, max_levels: int =
         if level % VISITED_CHECKPOINT_EVERY == 0:
             visited = _checkpoint(visited)
         frontier = new
-    raise RuntimeError(f"hierarchy deeper than {max_levels} levels")
 
 
 def flatten(spark: SparkSession, entities: DataFrame, links: DataFrame, root_url: str) -> DataFrame:
@@ -104,6 +104,7 @@ def flatten(spark: SparkSession, entities: DataFrame, links: DataFrame, root_url
     no letter, e.g. a release year)."""
     reached = walk(spark, links, root_url)
     return (reached.join(entities, "url")
-            .where(F.col("code").isNotNull())
+            .where(F.col("code") != "")   # missing and empty codes are not stored
+            
             .select("code", "title", "description",
                     code_from_url("parent_url").alias("parent_code"), "depth"))

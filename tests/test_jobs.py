@@ -11,7 +11,7 @@ from pluvial.sources.tables import Tables
 def test_land_check_build(spark, tmp_dir):
     raw = D.RawLayer(spark, SF_SMALL)
     landing = B.write_bundles(raw.patients, raw.encounters, raw.conditions,
-                              os.path.join(tmp_dir, "landing"), n_files=3)
+                              os.path.join(tmp_dir, "landing"))
     raw_dir = os.path.join(tmp_dir, "raw")
     v1 = jobs.load_bundles(spark, landing, raw_dir, "1", layout="lines", glob="*.txt")
     # re-running the same landing is a no-op (ON CONFLICT DO NOTHING)
