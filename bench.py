@@ -41,9 +41,9 @@ HEADLINE = (
 
 
 def bundle_ingest(spark, sf_dir):
-    """A1-A10 + B1 on bundles landed beforehand (landing is not timed: it
-    only synthesizes the input from the given tables)."""
-    from pluvial.operators.upsert import first_wins
+    """The shipped job, ``load_bundles``, on bundles landed beforehand (landing is
+    not timed: it only synthesizes the input from the given tables)."""
+    from pluvial.plans import jobs
     from pluvial.session import scratch_path
     from pluvial.sources import bundles as B
     from pluvial.sources.derived import RawLayer
@@ -51,18 +51,8 @@ def bundle_ingest(spark, sf_dir):
     raw = RawLayer(spark, sf_dir)
     landing = B.write_bundles(raw.patients, raw.encounters, raw.conditions,
                               scratch_path(spark, "bench-bundles"))
-
-    def run():
-        ing = B.Ingest(spark, landing, layout="lines", glob="*.txt")
-        good = ing.good.persist()
-        try:
-            for name, key in (("patients", "id"), ("encounters", "encounter_id"),
-                              ("conditions", "condition_id")):
-                first_wins(getattr(B, name)(good), [key], list(B.LINEAGE)) \
-                    .write.format("noop").mode("overwrite").save()
-        finally:
-            good.unpersist()
-    return run
+    return lambda: jobs.load_bundles(spark, landing, scratch_path(spark, "bench-raw"), "1",
+                                     layout="lines", glob="*.txt")
 
 
 def main() -> None:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pluvial.plans import analytics as K
 from pluvial.plans import checks as DQ
@@ -50,6 +51,20 @@ def k_rainy_pain_patients_by_region(spark, sf_dir):
     return K.rainy_pain_patients_by_region(wh.fct_encounters, wh.stg_patients)
 
 
+PERIOD = ("1995-01-01", "1996-12-31")
+
+
+def k_rainy_pain_patients_period(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    first, last = (F.lit(d).cast("date") for d in PERIOD)
+    return K.rainy_pain_patients_by_region(wh.fct_encounters, wh.stg_patients, first, last)
+
+
+def k_pain_visits_by_season_rain(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return K.pain_visits_by_season_and_rain(wh.fct_encounters, wh.dim_dates, wh.dim_weather)
+
+
 def k_rainy_day_share(spark, sf_dir):
     wh = _wh(spark, sf_dir)
     return K.rainy_day_share(K.fact_weather_region_day(wh.stg_patients, wh.stg_weather))
@@ -187,6 +202,12 @@ def _dq(fn) -> Query:
     return run
 
 
+def dq_damaged_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The DQ suite over raw tables with planted faults of every kind."""
+    apply_conf(spark)
+    return DQ.dq_report(D.damaged(RawLayer(spark, sf_dir).landed()))
+
+
 QUERIES: dict[str, Query] = {
     # staging (weather_id is a hash surrogate key: checked by unit tests, not SQL)
     "stg_patients": _model("stg_patients"),
@@ -206,6 +227,8 @@ QUERIES: dict[str, Query] = {
     # KPIs and gold tables
     "k_pain_patients_by_region": k_pain_patients_by_region,
     "k_rainy_pain_patients_by_region": k_rainy_pain_patients_by_region,
+    "k_rainy_pain_patients_period": k_rainy_pain_patients_period,
+    "k_pain_visits_by_season_rain": k_pain_visits_by_season_rain,
     "k_rainy_day_share": k_rainy_day_share,
     "k_top_diagnoses_by_region": k_top_diagnoses_by_region,
     "k_fact_diagnosis_region": k_fact_diagnosis_region,
@@ -240,4 +263,5 @@ QUERIES: dict[str, Query] = {
     "dq_referential": _dq(DQ.dq_referential),
     "dq_duplicates": _dq(DQ.dq_duplicates),
     "dq_report": _dq(DQ.dq_report),
+    "dq_damaged_report": dq_damaged_report,
 }

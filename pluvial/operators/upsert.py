@@ -44,11 +44,19 @@ def last_wins(batch: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     return _pick(batch, keys, order, last=True)
 
 
-def _non_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows with a whole key, rows with a NULL in it): the second part cannot be
+    stored under a key constraint and belongs in a reject table."""
     cond = None
     for k in keys:
         cond = F.col(k).isNotNull() if cond is None else cond & F.col(k).isNotNull()
-    return df.where(cond)
+    return df.where(cond), df.where(~cond)
+
+
+def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df``, failing when a row with a NULL key is read."""
+    return df.withColumns({k: F.coalesce(F.col(k), F.raise_error(F.lit(f"NULL key in column {k}"))
+                                         .cast(df.schema[k].dataType)) for k in keys})
 
 
 def upsert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str],
@@ -56,11 +64,11 @@ def upsert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     """INSERT ... ON CONFLICT DO NOTHING.
 
     Existing keys keep their row; inside the batch the first row in
-    ``order`` wins.  Rows with a NULL key violate the key constraint and are
-    left out (``quality.not_null`` reports them).  Re-running with the same
-    batch returns the same table (idempotent).
+    ``order`` wins.  A row with a NULL key violates the key constraint and
+    fails the load; ``split_null_keys`` takes such rows off beforehand.
+    Re-running with the same batch returns the same table (idempotent).
     """
-    batch = _non_null_keys(batch.select(*target.columns, *[
+    batch = _keyed(batch.select(*target.columns, *[
         c for c in batch.columns if c not in target.columns]), keys)
     fresh = first_wins(batch, keys, order).select(*target.columns)
     fresh = fresh.join(target.select(*keys), on=list(keys), how="left_anti")
@@ -74,7 +82,7 @@ def upsert_replace(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     A key repeated inside the batch keeps its last row in ``order``;
     ``duplicate_keys`` reports such keys.
     """
-    batch = _non_null_keys(batch, keys)
+    batch = _keyed(batch, keys)
     latest = last_wins(batch, keys, order).select(*target.columns)
     kept = target.join(latest.select(*keys), on=list(keys), how="left_anti")
     return kept.unionByName(latest)

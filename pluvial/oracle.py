@@ -601,5 +601,36 @@ for _name, _fn in _DQ_PARTS.items():
 FINAL["dq_report"] = "\nUNION ALL\n".join(q for fn in _DQ_PARTS.values() for q in fn())
 
 
+FINAL["k_rainy_pain_patients_period"] = f"""
+SELECT p.state, p.city, count(*) AS rainy_pain_patients
+FROM stg_patients p
+WHERE p.patient_id IN (SELECT patient_id FROM fct_encounters
+                       WHERE {PAIN} AND prcp > 0
+                         AND encounter_date BETWEEN DATE '1995-01-01' AND DATE '1996-12-31')
+GROUP BY p.state, p.city"""
+
+FINAL["k_pain_visits_by_season_rain"] = f"""
+SELECT coalesce(d.season, 'Unknown') AS season, coalesce(w.rain_category, 'Unknown') AS rain_category,
+       count(*) AS pain_visits
+FROM (SELECT DISTINCT encounter_id, encounter_date, lat, lon FROM fct_encounters WHERE {PAIN}) f
+LEFT JOIN ({FINAL["dim_dates"]}) d ON d.date = f.encounter_date
+LEFT JOIN ({FINAL["dim_weather"]}) w
+  ON w.lat = f.lat AND w.lon = f.lon AND w.weather_date = f.encounter_date
+GROUP BY 1, 2"""
+
+_DAMAGED = """,
+bad_patients AS (SELECT * FROM raw_patients WHERE id NOT LIKE '%17'),
+bad_encounters AS (SELECT * FROM raw_encounters
+                   UNION ALL SELECT * FROM raw_encounters WHERE encounter_id LIKE '%01'),
+bad_conditions AS (SELECT * REPLACE (CASE WHEN condition_id NOT LIKE '%5' THEN condition_id END AS condition_id)
+                   FROM raw_conditions),
+bad_weather AS (SELECT * REPLACE (CASE WHEN day(date) = 13 THEN tmax + 1 ELSE tmin END AS tmin,
+                                  CASE WHEN day(date) = 13 THEN tmin - 1 ELSE tmax END AS tmax)
+                FROM raw_weather),
+bad_icd AS (SELECT * FROM raw_icd)
+"""
+FINAL["dq_damaged_report"] = "WITH " + RAW + _DAMAGED + FINAL["dq_report"].replace("raw_", "bad_")
+
+
 def oracle_queries() -> dict[str, str]:
     return {name: _q(final) for name, final in FINAL.items()}

@@ -74,6 +74,22 @@ def rainy_pain_patients_by_region(fct_encounters: DataFrame, stg_patients: DataF
             .groupBy(*REGION).agg(F.count(F.lit(1)).alias("rainy_pain_patients")))
 
 
+# E8 ---------------------------------------------------------------------------
+def pain_visits_by_season_and_rain(fct_encounters: DataFrame, dim_dates: DataFrame,
+                                   dim_weather: DataFrame) -> DataFrame:
+    """Star join: pain visits per season and rain category (both dimensions
+    keep visits they do not know, as 'Unknown')."""
+    pain = fct_encounters.where(is_pain_diagnosis("condition_display")).select(
+        "encounter_id", "encounter_date", "lat", "lon").distinct()
+    d = dim_dates.select(F.col("date").alias("encounter_date"), "season")
+    w = dim_weather.select("lat", "lon", F.col("weather_date").alias("encounter_date"), "rain_category")
+    known = pain.join(d, "encounter_date", "left").join(w, ["lat", "lon", "encounter_date"], "left")
+    return known.groupBy(
+        F.coalesce("season", F.lit("Unknown")).alias("season"),
+        F.coalesce("rain_category", F.lit("Unknown")).alias("rain_category"),
+    ).agg(F.count(F.lit(1)).alias("pain_visits"))
+
+
 # K10 --------------------------------------------------------------------------
 def fact_weather_region_day(stg_patients: DataFrame, stg_weather: DataFrame) -> DataFrame:
     """Weather per region and day: mean over the region's rounded locations."""
@@ -238,12 +254,14 @@ def icd_validation(stg_conditions: DataFrame, stg_icd_codes: DataFrame) -> DataF
     """Share of diagnosis events whose code is a known ICD-10 code, per coding system."""
     codes = stg_icd_codes.select(F.col("code").alias("condition_code"),
                                  F.lit(1).alias("_known"))
+    # counted per code before the join: what moves is one row per distinct code
     return (
-        stg_conditions.select("condition_code_system", "condition_code")
+        stg_conditions.groupBy("condition_code_system", "condition_code")
+        .agg(F.count(F.lit(1)).alias("_n"))
         .join(codes, "condition_code", "left")
         .groupBy("condition_code_system")
-        .agg(F.count(F.lit(1)).alias("n_conditions"),
-             F.count("_known").alias("n_icd_matched"))
+        .agg(F.sum("_n").alias("n_conditions"),
+             F.coalesce(F.sum(F.when(F.col("_known").isNotNull(), F.col("_n"))), F.lit(0)).alias("n_icd_matched"))
         .select("condition_code_system", "n_conditions", "n_icd_matched",
                 F.round(stats.safe_div(F.lit(100.0) * F.col("n_icd_matched"),
                                        F.col("n_conditions")), ROUND).alias("match_pct"))

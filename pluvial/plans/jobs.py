@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from pluvial import schemas
 from pluvial.operators import quality as Q
-from pluvial.operators.upsert import first_wins, upsert_ignore
+from pluvial.operators.upsert import first_wins, split_null_keys, upsert_ignore
 from pluvial.plans import checks
 from pluvial.plans.warehouse import Warehouse
 from pluvial.session import scratch_path
@@ -87,12 +87,19 @@ def load_weather(spark: SparkSession, observations: DataFrame, raw_dir: str, ver
     """Cleaned observations upserted into a new version of the weather table.
 
     The first row of a key in landing order wins, if the observations carry
-    their file and row number as ``_file`` and ``_row``.
+    their file and row number as ``_file`` and ``_row``.  Observations without
+    a whole key are stored as ``rejected_weather`` and fail the load.
     """
     target = _read_or_empty(spark, current, schemas.WEATHER)
     lineage = [c for c in ("_file", "_row") if c in observations.columns]
-    batch = stamp(clean_observations(observations, keep=tuple(lineage)))
-    merged = upsert_ignore(target, batch, schemas.KEYS["weather"], lineage or ["id"])
+    keys = schemas.KEYS["weather"]
+    batch, unkeyed = split_null_keys(stamp(clean_observations(observations, keep=tuple(lineage))), keys)
+    seen = Observation("rejected_weather")
+    path = _write_version(unkeyed.observe(seen, F.count(F.lit(1)).alias("rows")), raw_dir,
+                          "rejected_weather", version)
+    if seen.get.get("rows"):
+        raise Q.QualityError(f"{seen.get['rows']} observations without a key, see {path}")
+    merged = upsert_ignore(target, batch, keys, lineage or ["id"])
     return _write_version(merged, raw_dir, "weather", version)
 
 

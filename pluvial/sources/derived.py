@@ -19,6 +19,8 @@ oracle SQL builds the same rows):
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -168,7 +170,9 @@ def conditions(t: Tables) -> DataFrame:
     """
     li = t.lineitem.select(*LINEITEM_COLS).withColumn(
         "_returned", F.col("l_returnflag") != "N")
-    first = first_wins(li, ["l_orderkey", "l_linenumber"], [*LINE_ORDER, "_returned"])
+    # one exchange serves the first-wins window and the join; an order has few lines
+    first = first_wins(li.repartition("l_orderkey"), ["l_orderkey", "l_linenumber"],
+                       [*LINE_ORDER, "_returned"])
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     return first.join(o, first.l_orderkey == o.o_orderkey).select(*_condition_columns())
 
@@ -246,16 +250,10 @@ class RawLayer:
     def icd_codes(self) -> DataFrame:
         return icd_codes(self.tables)
 
-    def landed(self):
-        """The five raw tables written once to the shared checkpoint folder
-        (what jobs downstream of landing read), as attributes."""
-        from types import SimpleNamespace
-
-        from pluvial.session import reliable_checkpoint
-
-        return SimpleNamespace(**{name: reliable_checkpoint(getattr(self, name))
-                                  for name in ("patients", "encounters", "conditions",
-                                               "weather", "icd_codes")})
+    def landed(self) -> "Landed":
+        """The raw tables as written to the shared checkpoint folder (what jobs
+        downstream of landing read), each when it is first asked for."""
+        return Landed(self)
 
 
 # --- upsert scenarios (B1, B2) ---------------------------------------------------
@@ -405,3 +403,34 @@ def icd_from_hierarchy(t: Tables) -> DataFrame:
 
     entities = parse_entities(hierarchy_documents(t))
     return flatten(t.spark, entities, hierarchy_links(t), HIERARCHY_ROOT)
+
+
+class Landed:
+    """Raw tables written on first use, as attributes."""
+
+    def __init__(self, raw: RawLayer):
+        self._raw = raw
+
+    def __getattr__(self, name: str) -> DataFrame:
+        from pluvial.session import reliable_checkpoint
+
+        if name.startswith("_"):
+            raise AttributeError(name)
+        table = reliable_checkpoint(getattr(self._raw, name))
+        setattr(self, name, table)
+        return table
+
+
+def damaged(raw) -> SimpleNamespace:
+    """The raw tables with planted faults: patients missing (orphans), visits
+    twice (duplicates), conditions without a key, and swapped temperatures."""
+    enc, swap = raw.encounters, F.dayofmonth("date") == 13
+    return SimpleNamespace(
+        patients=raw.patients.where(~F.col("id").endswith("17")),
+        encounters=enc.unionByName(enc.where(F.col("encounter_id").endswith("01"))),
+        conditions=raw.conditions.withColumn(
+            "condition_id", F.when(~F.col("condition_id").endswith("5"), F.col("condition_id"))),
+        weather=raw.weather.withColumns({
+            "tmin": F.when(swap, F.col("tmax") + 1).otherwise(F.col("tmin")),
+            "tmax": F.when(swap, F.col("tmin") - 1).otherwise(F.col("tmax"))}),
+        icd_codes=raw.icd_codes)

@@ -1,7 +1,9 @@
 from pyspark.sql import functions as F
 
-from pluvial.operators.upsert import duplicate_keys, first_wins, last_wins, upsert_ignore, \
-    upsert_replace
+import pytest
+
+from pluvial.operators.upsert import duplicate_keys, first_wins, last_wins, split_null_keys, \
+    upsert_ignore, upsert_replace
 
 
 def test_first_and_last_wins(spark):
@@ -20,8 +22,8 @@ def test_ties_are_broken_by_payload(spark):
 
 def test_upsert_ignore_keeps_existing_and_is_idempotent(spark):
     target = spark.createDataFrame([("k1", "old")], "k string, v string")
-    batch = spark.createDataFrame([("k1", "new", 1), ("k2", "b2", 2), ("k2", "b1", 1),
-                                   (None, "nokey", 0)], "k string, v string, o int")
+    batch = spark.createDataFrame([("k1", "new", 1), ("k2", "b2", 2), ("k2", "b1", 1)],
+                                  "k string, v string, o int")
     once = upsert_ignore(target, batch, ["k"], ["o"])
     assert sorted(map(tuple, once.collect())) == [("k1", "old"), ("k2", "b1")]
     twice = upsert_ignore(once, batch, ["k"], ["o"])
@@ -47,3 +49,14 @@ def test_hot_key_is_exact(spark):
     hot = out.where("k = 'hot'").collect()
     assert len(hot) == 1 and hot[0].o == 0
     assert out.count() == n - n // 3 + 1
+
+
+def test_null_keys_are_refused_or_split_off(spark):
+    target = spark.createDataFrame([("k1", "old")], "k string, v string")
+    batch = spark.createDataFrame([(None, "2", 1), ("b", "3", 2)], "k string, v string, o int")
+    for upsert in (upsert_ignore, upsert_replace):
+        with pytest.raises(Exception, match="NULL key in column k"):
+            upsert(target, batch, ["k"], ["o"]).collect()
+    keyed, rejected = split_null_keys(batch, ["k"])
+    assert [r.v for r in rejected.collect()] == ["2"]
+    assert sorted(r.k for r in upsert_ignore(target, keyed, ["k"], ["o"]).collect()) == ["b", "k1"]
