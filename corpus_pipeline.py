@@ -15,25 +15,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pluvial.llm import mixing, packing, quality, secrets, simhash
-from pluvial.llm.common import shared_path, table
+from pluvial.llm.common import shared_path, shipped, table
 
 
+@shipped
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+@shipped
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_first(docs)
 
 
+@shipped
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secrets.redact(docs)
 
 
+@shipped
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+@shipped
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 

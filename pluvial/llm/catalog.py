@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pluvial.llm.ann import op9_ann
+from pluvial.llm.common import shipped
 from pluvial.llm.extract import op7_extract
 from pluvial.llm.langid import op6_langid
 from pluvial.llm.mixing import op4_mixing
@@ -13,7 +14,7 @@ from pluvial.llm.semdedup import op8_semdedup
 from pluvial.llm.simhash import op3_simhash
 from pluvial.llm.toxicity import op1_toxicity
 
-QUERIES = {f.__name__: f for f in (
+QUERIES = {f.__name__: shipped(f) for f in (
     op1_toxicity, op2_secrets, op3_simhash, op4_mixing, op5_quality, op6_langid, op7_extract,
     op8_semdedup, op9_ann, op10_packing)}
 

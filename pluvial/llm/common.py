@@ -2,17 +2,50 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import pluvial
 from pluvial.session import checkpoint_root
 
 #: Documents are held out of every fit when crc32(doc_id as text) mod 4 is this.
 HELD_OUT_REMAINDER = 2
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the executors' Python, once per Spark application.
+
+    A deployment that installs it there (or sets PYTHONPATH) does not need
+    this; Spark serves the small archive itself, nothing else reads it.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_pluvial_shipped", False):
+        return
+    package = Path(pluvial.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="pluvial-code-")) / "pluvial_code.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent).as_posix())
+    sc.addPyFile(str(archive))
+    sc._pluvial_shipped = True
+
+
+def shipped(run: Callable) -> Callable:
+    """``run(spark, ...)`` with the package on the executors."""
+    @functools.wraps(run)
+    def with_package(spark: SparkSession, *args):
+        ship_package(spark)
+        return run(spark, *args)
+    return with_package
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
