@@ -60,6 +60,16 @@ def k_rainy_pain_patients_period(spark, sf_dir):
     return K.rainy_pain_patients_by_region(wh.fct_encounters, wh.stg_patients, first, last)
 
 
+def k_rainy_pain_patients_marts(spark, sf_dir):
+    """The period KPI from written marts; only the period's months are read."""
+    from pluvial.session import scratch_path
+
+    wh = _wh(spark, sf_dir)
+    written = Warehouse.from_marts(spark, wh.raw, wh.materialize(scratch_path(spark, "marts")))
+    first, last = (F.lit(d).cast("date") for d in PERIOD)
+    return K.rainy_pain_patients_by_region(written.fct_encounters, written.stg_patients, first, last)
+
+
 def k_pain_visits_by_season_rain(spark, sf_dir):
     wh = _wh(spark, sf_dir)
     return K.pain_visits_by_season_and_rain(wh.fct_encounters, wh.dim_dates, wh.dim_weather)
@@ -228,6 +238,7 @@ QUERIES: dict[str, Query] = {
     "k_pain_patients_by_region": k_pain_patients_by_region,
     "k_rainy_pain_patients_by_region": k_rainy_pain_patients_by_region,
     "k_rainy_pain_patients_period": k_rainy_pain_patients_period,
+    "k_rainy_pain_patients_marts": k_rainy_pain_patients_marts,
     "k_pain_visits_by_season_rain": k_pain_visits_by_season_rain,
     "k_rainy_day_share": k_rainy_day_share,
     "k_top_diagnoses_by_region": k_top_diagnoses_by_region,

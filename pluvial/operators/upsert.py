@@ -68,11 +68,15 @@ def upsert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     fails the load; ``split_null_keys`` takes such rows off beforehand.
     Re-running with the same batch returns the same table (idempotent).
     """
-    batch = _keyed(batch.select(*target.columns, *[
-        c for c in batch.columns if c not in target.columns]), keys)
-    fresh = first_wins(batch, keys, order).select(*target.columns)
-    fresh = fresh.join(target.select(*keys), on=list(keys), how="left_anti")
-    return target.unionByName(fresh)
+    return target.unionByName(fresh_rows(batch, keys, order, target).select(*target.columns))
+
+
+def fresh_rows(batch: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+               target: DataFrame | None = None) -> DataFrame:
+    """What an ignoring upsert appends: the first row of each key that the
+    target (of which only the keys are read) does not hold yet."""
+    fresh = first_wins(_keyed(batch, keys), keys, order)
+    return fresh if target is None else fresh.join(target.select(*keys), on=list(keys), how="left_anti")
 
 
 def upsert_replace(target: DataFrame, batch: DataFrame, keys: Sequence[str],

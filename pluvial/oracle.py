@@ -609,6 +609,8 @@ WHERE p.patient_id IN (SELECT patient_id FROM fct_encounters
                          AND encounter_date BETWEEN DATE '1995-01-01' AND DATE '1996-12-31')
 GROUP BY p.state, p.city"""
 
+FINAL["k_rainy_pain_patients_marts"] = FINAL["k_rainy_pain_patients_period"]
+
 FINAL["k_pain_visits_by_season_rain"] = f"""
 SELECT coalesce(d.season, 'Unknown') AS season, coalesce(w.rain_category, 'Unknown') AS rain_category,
        count(*) AS pain_visits

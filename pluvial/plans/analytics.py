@@ -62,13 +62,19 @@ def rainy_pain_patients_by_region(fct_encounters: DataFrame, stg_patients: DataF
                                   date_to: Column | None = None,
                                   patterns: Sequence[str] = PAIN_PATTERNS) -> DataFrame:
     """Distinct patients with a pain diagnosis made at a visit on a rainy day
-    (optionally inside [date_from, date_to])."""
+    (optionally inside [date_from, date_to]).  A written fact is partitioned by
+    month, so the bounds are put on the month as well."""
     f = fct_encounters.where(is_pain_diagnosis("condition_display", patterns)
                              & (F.col("prcp") > 0))
+    by_month = "encounter_month" in f.columns
     if date_from is not None:
         f = f.where(F.col("encounter_date") >= date_from)
+        if by_month:
+            f = f.where(F.col("encounter_month") >= F.date_format(date_from, "yyyy-MM"))
     if date_to is not None:
         f = f.where(F.col("encounter_date") <= date_to)
+        if by_month:
+            f = f.where(F.col("encounter_month") <= F.date_format(date_to, "yyyy-MM"))
     patients = f.select("patient_id").distinct()
     return (_region_of(stg_patients).join(patients, "patient_id", "left_semi")
             .groupBy(*REGION).agg(F.count(F.lit(1)).alias("rainy_pain_patients")))

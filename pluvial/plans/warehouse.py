@@ -31,6 +31,13 @@ class Warehouse:
     def from_folder(cls, spark: SparkSession, sf_dir: str, as_of: Column | None = None):
         return cls(RawLayer(spark, sf_dir), as_of=as_of)
 
+    @classmethod
+    def from_marts(cls, spark: SparkSession, raw, paths: dict[str, str]):
+        """Models whose marts are read from where ``materialize`` wrote them."""
+        wh = cls(raw)
+        wh.__dict__.update({name: spark.read.parquet(paths[name]) for name in cls.MARTS})
+        return wh
+
     # staging (views)
     @cached_property
     def stg_patients(self) -> DataFrame:
@@ -88,8 +95,10 @@ class Warehouse:
     def materialize(self, out_dir: str, partition_fact_by_month: bool = True) -> dict[str, str]:
         """Write every mart as Parquet under ``out_dir`` (full rebuild, B6).
 
-        The fact is partitioned by visit month so date-bounded KPIs prune
-        files.  Returns name -> path.
+        The fact is partitioned by visit month: KPIs bounded by dates add the
+        months to their filter and so prune files.  A month's rows are brought
+        together before the write, and AQE splits months that are too large
+        for a task.  Returns name -> path.
         """
         from pyspark.sql import functions as F
 
@@ -100,7 +109,8 @@ class Warehouse:
             writer = df
             if name == "fct_encounters" and partition_fact_by_month:
                 writer = df.withColumn("encounter_month",
-                                       F.date_format("encounter_date", "yyyy-MM"))
+                                       F.date_format("encounter_date", "yyyy-MM")
+                                       ).hint("rebalance", "encounter_month")
                 writer.write.mode("overwrite").partitionBy("encounter_month").parquet(path)
             else:
                 writer.write.mode("overwrite").parquet(path)

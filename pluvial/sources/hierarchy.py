@@ -105,6 +105,5 @@ def flatten(spark: SparkSession, entities: DataFrame, links: DataFrame, root_url
     reached = walk(spark, links, root_url)
     return (reached.join(entities, "url")
             .where(F.col("code") != "")   # missing and empty codes are not stored
-            
             .select("code", "title", "description",
                     code_from_url("parent_url").alias("parent_code"), "depth"))
