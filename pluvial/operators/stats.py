@@ -6,13 +6,13 @@ combined map-side, and the test statistics are arithmetic on the final row.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed constants of the erfc approximation 7.1.26 in Abramowitz & Stegun,
-# Handbook of Mathematical Functions (absolute error below 1.5e-7).
-ERFC_P = 0.3275911
-ERFC_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+#: Terms of the two expansions of erfc; both have converged to double precision.
+SERIES_TERMS, FRACTION_TERMS = 60, 80
 
 
 def safe_div(num: Column, den: Column) -> Column:
@@ -20,12 +20,34 @@ def safe_div(num: Column, den: Column) -> Column:
     return F.when(den != 0, num / den)
 
 
+def _erf_small(x: Column) -> Column:
+    """erf(x) for 0 <= x < 2 by its series of positive terms."""
+    first = F.struct(x.alias("term"), x.alias("total"))
+
+    def add(acc: Column, n: Column) -> Column:
+        term = acc["term"] * F.lit(2.0) * x * x / (F.lit(2.0) * n + F.lit(1.0))
+        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
+
+    total = F.aggregate(F.sequence(F.lit(1), F.lit(SERIES_TERMS)), first, add, lambda acc: acc["total"])
+    return F.lit(2.0 / math.sqrt(math.pi)) * F.exp(-(x * x)) * total
+
+
+def _erfcx_large(x: Column) -> Column:
+    """exp(x^2) erfc(x) for x >= 2 by its continued fraction, from the inside out."""
+    inner = F.aggregate(F.sequence(F.lit(FRACTION_TERMS), F.lit(1), F.lit(-1)), x,
+                        lambda acc, k: x + k / F.lit(2.0) / acc)
+    return F.lit(1.0 / math.sqrt(math.pi)) / inner
+
+
 def erfc_nonneg(x: Column) -> Column:
-    """erfc(x) for x >= 0."""
-    t = F.lit(1.0) / (F.lit(1.0) + F.lit(ERFC_P) * x)
-    a1, a2, a3, a4, a5 = (F.lit(a) for a in ERFC_A)
-    poly = t * (a1 + t * (a2 + t * (a3 + t * (a4 + t * a5))))
-    return poly * F.exp(-(x * x))
+    """erfc(x) for x >= 0, right in its leading digits however small it is."""
+    return F.when(x < 2, F.lit(1.0) - _erf_small(x)).otherwise(_erfcx_large(x) * F.exp(-(x * x)))
+
+
+def log10_erfc_nonneg(x: Column) -> Column:
+    """log10(erfc(x)) for x >= 0, also where erfc itself is below all doubles."""
+    return F.when(x < 2, F.log10(F.lit(1.0) - _erf_small(x))).otherwise(
+        F.log10(_erfcx_large(x)) - x * x / F.lit(math.log(10.0)))
 
 
 def chi2_sf_1df(chi2: Column) -> Column:
@@ -37,7 +59,7 @@ def two_by_two(cells: DataFrame, a: str, b: str, c: str, d: str, digits: int = 6
     """Chi-square test of independence on one row of 2x2 counts.
 
     Layout: row 1 = (a, b), row 2 = (c, d).  Adds n, chi2, p_value,
-    odds_ratio and both row rates of the first column.
+    its log10 (strong effects round to a p_value of 0), odds_ratio and both row rates of the first column.
     """
     A, B, C, D = (F.col(x).cast("double") for x in (a, b, c, d))
     n = A + B + C + D
@@ -48,6 +70,7 @@ def two_by_two(cells: DataFrame, a: str, b: str, c: str, d: str, digits: int = 6
         n.cast("bigint").alias("n"),
         F.round(chi2, digits).alias("chi2"),
         F.round(chi2_sf_1df(chi2), digits).alias("p_value"),
+        F.round(log10_erfc_nonneg(F.sqrt(chi2 / F.lit(2.0))), digits).alias("log10_p"),
         F.round(safe_div(A * D, B * C), digits).alias("odds_ratio"),
         F.round(safe_div(A, A + B), digits).alias("rate_row1"),
         F.round(safe_div(C, C + D), digits).alias("rate_row2"),

@@ -313,13 +313,18 @@ GROUP BY p.state, p.city, c.condition_code, c.condition_display""",
 SELECT rainy_pain_days, rainy_no_pain_days, dry_pain_days, dry_no_pain_days,
        CAST(a + b + c + d AS BIGINT) AS n,
        round(chi2, 6) AS chi2,
-       round(erfc_t * (0.254829592 + erfc_t * (-0.284496736 + erfc_t * (1.421413741
-             + erfc_t * (-1.453152027 + erfc_t * 1.061405429)))) * exp(-(chi2 / 2.0)), 6) AS p_value,
+       round(exp(-chi2 / 2) * scaled, 6) AS p_value,
+       round(log10(scaled) - chi2 / 2 / ln(10), 6) AS log10_p,
        round(CASE WHEN b * c <> 0 THEN a * d / (b * c) END, 6) AS odds_ratio,
        round(CASE WHEN a + b <> 0 THEN a / (a + b) END, 6) AS rate_row1,
        round(CASE WHEN c + d <> 0 THEN c / (c + d) END, 6) AS rate_row2
 FROM (
-  SELECT *, 1.0 / (1.0 + 0.3275911 * sqrt(chi2 / 2.0)) AS erfc_t
+  -- exp(x^2) erfc(x) = 2/sqrt(pi) * integral of exp(-u^2 - 2xu) from 0, by Simpson's rule
+  SELECT *, 2 / sqrt(pi()) * (40.0 / (2 * sqrt(chi2 / 2) + 6)) / 20000 / 3
+            * list_sum(list_transform(range(0, 20001), lambda i:
+                (CASE WHEN i = 0 OR i = 20000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)
+                * exp(-pow(i * (40.0 / (2 * sqrt(chi2 / 2) + 6)) / 20000, 2)
+                      - 2 * sqrt(chi2 / 2) * i * (40.0 / (2 * sqrt(chi2 / 2) + 6)) / 20000))) AS scaled
   FROM (
     SELECT *, CASE WHEN (a + b) * (c + d) * (a + c) * (b + d) <> 0
                    THEN (a + b + c + d) * (a * d - b * c) * (a * d - b * c)

@@ -70,6 +70,23 @@ def test_chi_square_matches_ml_test(spark):
     assert abs(mine.p_value - ref.pValues[0]) < 1e-6
 
 
+def test_chi_square_tail_is_right_in_its_leading_digits(spark):
+    import math
+
+    from pluvial.operators import stats
+    xs = [0.0, 1e-9, 0.3, 1.0, 1.9999, 2.0, 3.0, 5.0, 8.0, 20.0, 26.0]
+    x = F.col("x")
+    rows = spark.createDataFrame([(v,) for v in xs], "x double").select(
+        "x", stats.erfc_nonneg(x).alias("p"), stats.log10_erfc_nonneg(x).alias("log_p")).collect()
+    for r in rows:
+        assert math.isclose(r.p, math.erfc(r.x), rel_tol=1e-11)
+        assert math.isclose(r.log_p, math.log10(math.erfc(r.x)), rel_tol=1e-11, abs_tol=1e-11)
+    far = spark.range(1).select(stats.log10_erfc_nonneg(F.lit(700.0))).first()[0]
+    # the first terms of the asymptotic series
+    assert math.isclose(far, -700**2 / math.log(10) - math.log10(700 * math.sqrt(math.pi)) - 0.5 / 700**2 / math.log(10),
+                        rel_tol=1e-13)
+
+
 def test_average_ranks_handle_ties_and_groups(spark):
     from pluvial.operators.ranks import average_ranks
     vals = [("a", 1.0), ("a", 2.0), ("a", 2.0), ("a", 5.0), ("b", 3.0), ("b", 3.0), ("a", None)]
