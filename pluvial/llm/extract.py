@@ -8,6 +8,11 @@ page's vote.  Votes are added up per host in Spark, weighted by score; every
 page is then extracted again along its host's winning path.  A page that has
 no such path, or no text there, follows its own vote.
 
+The winning path may be that of a wrapper inside the article.  On each page it
+is widened to the outermost article around it, to a main or another container
+that holds headings or running text of its own or several of the path's
+elements; the body adds what stands directly in it.
+
 Blocks keep page order.  Menus, headers, footers, side bars, notices, adverts,
 forms, reader comments, scripts and styles inside a container are left out by
 their tag or class; a header that holds the main heading stays.  Character
@@ -49,6 +54,9 @@ BLOCK = frozenset((
     "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre "
     "section summary table tbody td tfoot th thead title tr ul").split())
 CONTAINER = frozenset("html body article main section div td blockquote center ol ul".split())
+#: Containers that can stand for a whole article; the others are parts of its running text.
+WRAPPER = frozenset("html body article main section div td center".split())
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 BOILERPLATE_TAG = frozenset((
     "nav menu footer aside form head button dialog fieldset title input label iframe").split())
 #: Words in a class, id or role that mark a part as not of the article.
@@ -78,6 +86,7 @@ class Page:
     blocks: list[str]
     holders: list[Node]
     nodes: list[Node]
+    plain: list[int]   # characters of each block that no link holds
 
 
 def _names(attrs: str, pattern: re.Pattern) -> str:
@@ -87,7 +96,7 @@ def _names(attrs: str, pattern: re.Pattern) -> str:
 def read_page(html: str) -> Page:
     """A page's text blocks in order, each with its innermost element."""
     root = Node("#root", "", None, False, False, False)
-    nodes, blocks, holders = [root], [], []
+    nodes, blocks, holders, plains = [root], [], [], []
     stack: list[Node] = [root]
     text: list[str] = []
     plain = 0   # characters of the running block that no link holds
@@ -102,8 +111,9 @@ def read_page(html: str) -> Page:
                     holder = holder.parent
                 blocks.append(joined)
                 holders.append(holder)
+                plains.append(min(plain, len(joined)))
                 if not holder.dropped and plain:
-                    _credit(holder, min(plain, len(joined)))
+                    _credit(holder, plains[-1])
             text.clear()
         plain = 0
 
@@ -155,7 +165,7 @@ def read_page(html: str) -> Page:
         if not stack[-1].linked:
             plain += len(html) - at
     end_block()
-    return Page(blocks, holders, nodes)
+    return Page(blocks, holders, nodes, plains)
 
 
 def _credit(holder: Node, n: int) -> None:
@@ -179,8 +189,62 @@ def best_container(page: Page) -> tuple[str, float]:
     return max(scores.items(), key=lambda s: (s[1], s[0])) if scores else ("", 0.0)
 
 
+def _own(page: Page) -> dict[int, list[tuple[int, bool]]]:
+    """The blocks that stand directly in each wrapper, with whether a header holds them."""
+    own: dict[int, list[tuple[int, bool]]] = {}
+    for i, holder in enumerate(page.holders):
+        if not holder.dropped and (page.plain[i] or holder.tag in HEADING):
+            node = holder
+            while node.tag not in WRAPPER and node.parent is not None:
+                node = node.parent
+            own.setdefault(id(node), []).append((i, holder.header))
+    return own
+
+
+def widened(page: Page, path: str) -> tuple[set[int], set[int]]:
+    """(elements, blocks) of the article that the elements with the path are of."""
+    found = [n for n in page.nodes if n.path == path and not n.dropped]
+    elements, blocks = {id(n) for n in found}, set()
+    if not found or not path:
+        return elements, blocks
+    own = _own(page)
+    shared: dict[int, int] = {}
+    for n in found:
+        shared[id(n.parent)] = shared.get(id(n.parent), 0) + 1
+    top_heads = {id(n) for i, h in enumerate(page.holders) if h.tag == "h1" and not h.dropped for n in _upward(h)}
+    titled = any(id(n) in top_heads for n in found)
+    done: set[tuple[int, bool]] = set()
+    for n in found:
+        article = n.tag in ("article", "main")
+        for node in _upward(n.parent):
+            if (id(node), article) in done:   # decided for an element before
+                break
+            done.add((id(node), article))
+            if node.tag not in WRAPPER or node.dropped:
+                continue
+            mine = own.get(id(node), [])
+            if node.tag in ("html", "body"):
+                if not article:
+                    blocks.update(i for i, in_header in mine
+                                  if not in_header or (page.holders[i].tag == "h1" and not titled))
+            elif (node.tag == "article" or shared.get(id(node), 0) > 1
+                  or any(node.tag == "main" or not in_header for _, in_header in mine)):
+                elements.add(id(node))
+                titled = titled or id(node) in top_heads
+            elif not article and not titled:
+                blocks.update(i for i, _ in mine if page.holders[i].tag == "h1")
+            article = article or node.tag in ("article", "main")
+    return elements, blocks
+
+
+def _upward(node: Node | None) -> Iterator[Node]:
+    while node is not None:
+        yield node
+        node = node.parent
+
+
 def text_at(page: Page, path: str) -> str:
-    """The article text below all elements with the path."""
+    """The article text of and around all elements with the path."""
     main_headers = set()
     for holder in page.holders:
         if holder.tag == "h1" and holder.header:
@@ -188,17 +252,17 @@ def text_at(page: Page, path: str) -> str:
             while node is not None and node.tag != "header":
                 node = node.parent
             main_headers.add(id(node))
+    elements, blocks = widened(page, path)
     out = []
-    for block, holder in zip(page.blocks, page.holders):
+    for i, (block, holder) in enumerate(zip(page.blocks, page.holders)):
         if holder.dropped:
             continue
-        node, inside, header = holder, False, None
-        while node is not None:
+        inside, header = False, None
+        for node in _upward(holder):
             if node.tag == "header" and header is None and not inside:
                 header = node
-            inside = inside or node.path == path
-            node = node.parent
-        if inside and (header is None or id(header) in main_headers):
+            inside = inside or id(node) in elements
+        if i in blocks or inside and (header is None or id(header) in main_headers):
             out.append(block)
     return " ".join(out)
 

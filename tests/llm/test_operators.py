@@ -313,6 +313,25 @@ def test_extract_templates():
     assert extract.extract("plain &lt;text&gt; &am", None) == "plain <text> &am"
 
 
+def test_extract_keeps_what_stands_around_wrappers():
+    """Title, lead, lists and closing text around sections of one path, in every kind of holder."""
+    import itertools
+    words = iter(range(10**6))
+    say = lambda n: " ".join(f"w{next(words)}" for _ in range(n))
+    for outer, wrap, count, lead, end, tail in itertools.product(
+            ("article", "main", "div class='post'", "body"), ("section", "div class='part'", "blockquote"),
+            (1, 3), (0, 20), (0, 15), ("", "<div class='more'><p>elsewhere</p></div>")):
+        title, first, last, item = say(3), say(lead), say(end), say(5)
+        parts = [say(90) for _ in range(count)]
+        inner = (f"<h1>{title}</h1><p>{first}</p>" + "".join(f"<{wrap}><p>{p}</p></{wrap.split()[0]}>" for p in parts)
+                 + f"<ul><li>{item}</li></ul><p>{last}</p>")
+        page = "<html><body>" + (inner if outer == "body" else f"<{outer}>{inner}</{outer.split()[0]}>") + tail + "</body></html>"
+        want = " ".join(" ".join([title, first, *parts, item, last]).split())
+        assert extract.extract(page, None) == want, page
+        own = extract.best_container(extract.read_page(page))[0]
+        assert extract.extract(page, own) == want
+
+
 def test_extract_consensus(spark):
     """A page whose own best container is the wrong one follows its host."""
     def page(article, related):
