@@ -15,7 +15,8 @@ elements; the body adds what stands directly in it.
 
 Blocks keep page order.  Menus, headers, footers, side bars, notices, adverts,
 forms, reader comments, scripts and styles inside a container are left out by
-their tag or class; a header that holds the main heading stays.  Character
+their tag or class; a header that holds the main heading stays.  A mark by name,
+or that of a form, does not hold for an element around the article itself.  Character
 references are decoded, white space in a block becomes one space, blocks are
 joined by one space.
 
@@ -65,6 +66,13 @@ BOILERPLATE_NAME = re.compile(
     r"header|masthead|footer|foot|sidebar\w*|side|rail|widgets?|related|recommend\w*|cookies?\w*|consent|notice\w*|alert|"
     r"popup|modal|overlay|subscribe|subscription|newsletter|signup|login|search|share|sharing|social|comments?|"
     r"commentlist|replies|reply|disqus|toolbar|pagination|pager|complementary|contentinfo)(?=$|[\s_-])", re.I)
+#: Names that tell of the layout of what they hold, not what it is.
+LAYOUT_NAME = re.compile(
+    r"(?:^|[_-])(?:with|has|no|without|layout|page)[_-]|[_-](?:wrap|wrapper|container|layout|left|right|enabled|disabled|"
+    r"on|off|open|closed|active|visible|hidden|none|grid|row|col|columns?|inner|outer|area|main|content|body|page|post|"
+    r"article|entry|top|bottom)(?:[_-]|$)", re.I)
+#: Names of what readers write, which can be longer than the article.
+READERS_NAME = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|replies|reply|disqus)(?=$|[\s_-])", re.I)
 _DIGITS = re.compile(r"\d+")
 
 
@@ -78,6 +86,8 @@ class Node:
     header: bool
     score: float = 0.0
     blocks: list = field(default_factory=list)   # numbers of the page's blocks inside
+    mark: str = ""        # names by which the element is boilerplate, if it does not hold the article
+    hard: bool = False    # boilerplate by a tag other than form, or inside one
 
 
 @dataclass
@@ -112,8 +122,6 @@ def read_page(html: str) -> Page:
                 blocks.append(joined)
                 holders.append(holder)
                 plains.append(min(plain, len(joined)))
-                if not holder.dropped and plain:
-                    _credit(holder, plains[-1])
             text.clear()
         plain = 0
 
@@ -152,11 +160,13 @@ def read_page(html: str) -> Page:
         attrs = token["attrs"] or ""
         parent = stack[-1]
         name = ".".join(sorted(_DIGITS.sub("#", _names(attrs, _ONLY_CLASS)).lower().split())) if attrs else ""
-        bad = tag in BOILERPLATE_TAG or (
-            bool(attrs) and tag not in ("html", "body", "article", "main")
-            and bool(BOILERPLATE_NAME.search(_names(attrs, _CLASS))))
+        mark = "form" if tag == "form" else ""
+        if attrs and tag not in ("html", "body", "article", "main"):
+            mark = " ".join(n for n in _names(attrs, _CLASS).split() if BOILERPLATE_NAME.search(n)) or mark
+        hard = parent.hard or tag in BOILERPLATE_TAG and tag != "form"
         node = Node(tag, f"{parent.path}>{tag}" + (f".{name}" if name else ""), parent,
-                    parent.dropped or bad, parent.linked or tag == "a", parent.header or tag == "header")
+                    hard or parent.dropped or bool(mark), parent.linked or tag == "a",
+                    parent.header or tag == "header", mark=mark, hard=hard)
         nodes.append(node)
         if not attrs.endswith("/") or tag in BLOCK:
             stack.append(node)
@@ -165,9 +175,71 @@ def read_page(html: str) -> Page:
         if not stack[-1].linked:
             plain += len(html) - at
     end_block()
+    if any(n.mark and not n.hard for n in nodes):
+        _unmark(nodes, holders, plains)
+    for holder, n in zip(holders, plains):
+        if n and not holder.dropped:
+            _credit(holder, n)
     return Page(blocks, holders, nodes, plains)
 
 
+def _unmark(nodes: list[Node], holders: list[Node], plains: list[int]) -> None:
+    """Take the marks off elements that stand around the article; set ``dropped`` anew.
+
+    An element keeps its mark unless it holds a main, most of the page's running
+    text with the main heading or as one article, or has a name of layout (or is
+    a form) and holds most of the text while no article or main heading stands
+    outside of marked elements.  If then no running text is left at all, marks
+    come off articles, and after them off what holds most of the text.
+    """
+    text: dict[int, float] = {}       # running text inside each element
+    holds: dict[int, set[str]] = {}   # h1, main, article inside, and "most": an article with most text
+    for holder, n in zip(holders, plains):
+        if not holder.hard:
+            text[id(holder)] = text.get(id(holder), 0) + n
+            if holder.tag == "h1":
+                holds.setdefault(id(holder), set()).add("h1")
+    total = sum(text.values())
+    for node in reversed(nodes):      # children first
+        if node.hard:
+            continue
+        mine, inside = text.get(id(node), 0), holds.setdefault(id(node), set())
+        if node.tag in ("main", "article"):
+            inside.add(node.tag)
+            if 2 * mine > total:
+                inside.add("most")
+        if node.parent is not None:
+            text[id(node.parent)] = text.get(id(node.parent), 0) + mine
+            holds.setdefault(id(node.parent), set()).update(inside)
+
+    def spread() -> None:
+        for node in nodes[1:]:
+            node.dropped = node.hard or node.parent.dropped or bool(node.mark)
+
+    def left() -> bool:
+        return any(n and not h.dropped for h, n in zip(holders, plains))
+
+    marked = [n for n in nodes if n.mark and not n.hard]
+    outside = any(not n.dropped and n.tag in ("main", "article", "h1") for n in nodes)
+    for node in marked:
+        inside, most = holds[id(node)], 2 * text.get(id(node), 0) > total
+        layout = not READERS_NAME.search(node.mark) and (
+            node.mark == "form" or all(LAYOUT_NAME.search(n) for n in node.mark.split()))
+        if "main" in inside or most and ("h1" in inside or "most" in inside or layout and not outside):
+            node.mark = ""
+    spread()
+    if total and not left():
+        for node in marked:
+            if "article" in holds[id(node)]:
+                node.mark = ""
+        spread()
+    if total and not left():
+        for node in marked:
+            if 2 * text.get(id(node), 0) > total:
+                node.mark = ""
+        spread()
+
+
 def _credit(holder: Node, n: int) -> None:
     """A paragraph's text counts for its container and half for the next one."""
     share, node = float(n), holder

@@ -332,6 +332,30 @@ def test_extract_keeps_what_stands_around_wrappers():
         assert extract.extract(page, own) == want
 
 
+def test_extract_reads_inside_layout_wrappers():
+    """A boilerplate word in a wrapper's name, or a form, does not take the article with it."""
+    inner = "<h1>T</h1><p>" + "word " * 60 + "</p>"
+    want = " ".join(["T"] + ["word"] * 60)
+    rest = ("<div class='sidebar'><p>side text</p></div><div class='comments'><p>" + "nice " * 20 + "</p></div>"
+            "<ul class='related-posts'><li>other</li></ul><div class='site-footer'><p>foot</p></div>")
+    for wrap in ("div class='content-sidebar-wrap'", "div class='page-with-sidebar'", "div id=layout-sidebar-right",
+                 "div class='post share-enabled'", "div class='overlay'", "form id=aspnet", "div role=search"):
+        for body in (f"<main>{inner}</main>", f"<article>{inner}</article>", f"<div class='story'>{inner}</div>"):
+            close = f"</{wrap.split()[0]}>"
+            for page in (f"<body><{wrap}>{body}{rest}{close}</body>", f"<body><{wrap}>{body}{close}{rest}</body>",
+                         f"<body><div class='no-header'><{wrap}>{body}{close}</div>{rest}</body>"):
+                assert extract.extract(page, None) == want, page
+    # without heading, beside a stray line
+    page = f"<body><div class='layout-sidebar-right'><div class=story><p>{'word ' * 60}</p></div></div><div><p>c</p></div></body>"
+    assert extract.extract(page, None) == " ".join(["word"] * 60)
+    # marks hold on what is beside the article, however long
+    for beside in ("div class='comments-area'", "ol class='comment-list'", "div class='related-posts'", "div class=sidebar"):
+        for body in (f"<article>{inner}</article>", f"<div class='story'>{inner}</div>"):
+            teasers = "<article><p>" + "nice " * 60 + "</p></article>"
+            page = f"<body>{body}<{beside}>{teasers * 3}</{beside.split()[0]}></body>"
+            assert extract.extract(page, None) == want, page
+
+
 def test_extract_consensus(spark):
     """A page whose own best container is the wrong one follows its host."""
     def page(article, related):
