@@ -15,9 +15,9 @@ one table, that is with every row.
 
 Vectors that are null, zero or hold null or non-finite components, and rows
 without vec_id, take no part.  Vectors of different length are not compared.
-Rows that share a vec_id count as one candidate, the nearest of them, and none
-is a candidate of a query with that id; repeated queries answer once.  Ties go
-to the smaller vec_id.  An empty table gives an empty result.
+Rows that share a vec_id count as one candidate, the nearest of them, however
+many they are, and none is a candidate of a query with that id; repeated queries
+answer once.  Ties go to the smaller vec_id.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -100,22 +100,18 @@ def _search(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
     order = np.argsort(ids, kind="stable")
     ids = ids[order]
     v = np.array([np.frombuffer(x) for x in there["vector"]])[order] if len(ids) else np.empty((0, 1))
+    first = np.flatnonzero(np.diff(ids, prepend=ids[0] - 1)) if len(ids) else ids   # each id's first row
+    of = ids[first]
     out: list[tuple[int, int, float]] = []
     for q, data in zip(asked["vec_id"].tolist(), asked["vector"]) if len(ids) else ():
         gap = v - np.frombuffer(data)[None, :]
-        far = np.sqrt((gap * gap).sum(axis=1))
-        far[ids == q] = np.inf
-        taken = 0
-        seen: set[int] = set()
-        least = np.partition(far, min(4 * k, len(far)) - 1)[:4 * k].max()
-        best = np.flatnonzero(far <= least)
-        for i in best[np.argsort(far[best], kind="stable")].tolist():   # stable: ties by id
-            if taken == k or far[i] == np.inf:
+        far = np.minimum.reduceat(np.sqrt((gap * gap).sum(axis=1)), first)
+        far[of == q] = np.inf
+        best = np.flatnonzero(far <= np.partition(far, min(k, len(far)) - 1)[:k].max())
+        for i in best[np.argsort(far[best], kind="stable")][:k].tolist():   # stable: ties by id
+            if far[i] == np.inf:
                 break
-            if int(ids[i]) not in seen:
-                seen.add(int(ids[i]))
-                out.append((q, int(ids[i]), float(far[i])))
-                taken += 1
+            out.append((q, int(of[i]), float(far[i])))
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype(
         {"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
@@ -127,7 +123,7 @@ def _pass(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     size = corpus.groupBy(*bucket).agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).join(
         queries.groupBy(*bucket).agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("asks")), bucket)
     size = F.broadcast(size)
-    salt = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30))
+    salt = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(1 << 30))
     there = corpus.join(size, bucket).select(
         *bucket, (salt % F.col("blocks")).alias("i"), F.explode(F.expr("sequence(0L, asks - 1)")).alias("j"),
         F.lit(False).alias("asked"), "vec_id", "vector")
@@ -141,7 +137,7 @@ def _pass(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 def search(vectors: DataFrame, is_query: Column, k: int = K, tables: int = TABLES,
            probes: int = PROBES) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest found for each query row."""
-    usable, _ = materialize(with_usable(vectors), "ann-rows")
+    usable, _ = materialize(with_usable(vectors).dropDuplicates(["vec_id", "embedding"]), "ann-rows")
     queries = usable.where(is_query).dropDuplicates(["vec_id"])
     found, _ = materialize(
         _pass(hashed(usable, tables, 1), hashed(queries, tables, probes), k)

@@ -483,6 +483,27 @@ def test_ann_odd_rows(vectors):
     assert ann.search(vectors.limit(0), F.lit(True)).count() == 0
 
 
+def test_ann_repeated_ids_hide_nothing(spark):
+    """An id with many rows near a query, the same and different ones, is one candidate."""
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(11)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(60, 8)))]
+    rows += [(70, rows[0][1] + rng.normal(scale=0.01, size=8)) for _ in range(90)] + [(71, rows[0][1])] * 90
+    rows += [(i, rows[i][1] + rng.normal(scale=0.01, size=8)) for i in range(1, 30) for _ in range(8)]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(table, F.col("vec_id").isin(0, 40, 59), tables=1, probes=1 << 30).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    for q in (0, 40, 59):
+        far = {}
+        for i, v in rows:
+            if i != q:
+                far[i] = min(far.get(i, np.inf), float(np.sqrt(((v - rows[q][1]) ** 2).sum())))
+        want = sorted(far.items(), key=lambda f: (f[1], f[0]))[:10]
+        assert [got[q][k][0] for k in range(1, 11)] == [i for i, _ in want]
+        assert [got[q][k][1] for k in range(1, 11)] == pytest.approx([d for _, d in want])
+
+
 def test_hadamard_is_a_rotation():
     m = np.random.default_rng(0).normal(size=(5, 24))
     turned = ann.rotated(m, 3)
