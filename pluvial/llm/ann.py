@@ -11,7 +11,9 @@ blocks of at most ``BLOCK`` vectors and its queries into blocks of at most
 ``QUERY_BLOCK``, every pair of which is a task; a task answers with each query's
 k nearest there, so what is sent on grows with the queries, not with the
 candidates.  A query that finds fewer than k is compared with all buckets of
-one table, that is with every row.
+one table, that is with every row.  So is each query of a vector length whose
+norms differ by more than ``NORM_SPREAD``: hashes know angles only, and there
+the nearest rows may stand at a wide angle.
 
 Vectors that are null, zero or hold null or non-finite components, and rows
 without vec_id, take no part.  Vectors of different length are not compared.
@@ -39,6 +41,8 @@ TABLES, PROBES = 12, 10
 BLOCK, QUERY_BLOCK = 4096, 1024
 SEED = 9
 QUERY_STEP = 100
+#: Up to this relative difference of norms, the order by angle is that by distance.
+NORM_SPREAD = 1e-3
 
 
 def hadamard(m: np.ndarray) -> np.ndarray:
@@ -138,9 +142,16 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, tables: int = TABLE
            probes: int = PROBES) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest found for each query row."""
     usable, _ = materialize(with_usable(vectors).dropDuplicates(["vec_id", "embedding"]), "ann-rows")
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    mixed, _ = materialize(   # at most a row for each vector length
+        usable.groupBy(F.size("embedding").alias("dim"))
+        .agg(F.min(norm).alias("least"), F.max(norm).alias("most"))
+        .where((F.col("most") > F.col("least") * (1 + NORM_SPREAD)) | (F.col("most") == float("inf")))
+        .select("dim"), "ann-mixed")
     queries = usable.where(is_query).dropDuplicates(["vec_id"])
+    alike = [df.join(F.broadcast(mixed), F.size("embedding") == F.col("dim"), "left_anti") for df in (usable, queries)]
     found, _ = materialize(
-        _pass(hashed(usable, tables, 1), hashed(queries, tables, probes), k)
+        _pass(hashed(alike[0], tables, 1), hashed(alike[1], tables, probes), k)
         .groupBy("query_id", "vec_id").agg(F.min("score").alias("score")), "ann-found")
     have = found.groupBy("query_id").agg(F.count("*").alias("n"))
     few, _ = materialize(

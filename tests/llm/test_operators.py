@@ -504,6 +504,24 @@ def test_ann_repeated_ids_hide_nothing(spark):
         assert [got[q][k][1] for k in range(1, 11)] == pytest.approx([d for _, d in want])
 
 
+def test_ann_mixed_norms(spark):
+    """Where norms differ, short vectors at wide angles are the nearest."""
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(12)
+    m = rng.normal(size=(600, 64)) / 8
+    for q in range(0, 600, 60):
+        m[q + 1:q + 13] = -0.1 * m[q] + rng.normal(scale=0.002, size=(12, 64))   # short and opposite
+        m[q + 13:q + 40] = 3 * m[q] + rng.normal(scale=0.2, size=(27, 64))       # far along its direction
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(table, F.col("vec_id") % 60 == 0).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = r.vec_id
+    for q in range(0, 600, 60):
+        far = np.sqrt(((m - m[q]) ** 2).sum(axis=1))
+        far[q] = np.inf
+        assert [got[q][k] for k in range(1, 11)] == np.argsort(far, kind="stable")[:10].tolist()
+
+
 def test_hadamard_is_a_rotation():
     m = np.random.default_rng(0).normal(size=(5, 24))
     turned = ann.rotated(m, 3)
