@@ -183,10 +183,11 @@ def ball_links(nodes: DataFrame, max_bits: int = MAX_BITS, limit: int = SLICE_VA
 
 
 def fingerprint_groups(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(fp, component_id, first_id) of each distinct fingerprint.
+    """(fp, component, component_id, first_id) of each distinct fingerprint.
 
-    ``fps``: (doc_id, fp) per document.  component_id: the smallest doc_id
-    reachable by links; first_id: the smallest doc_id with this fingerprint.
+    ``fps``: (doc_id, fp) per document.  component: the smallest fingerprint
+    reachable by links; component_id: the smallest doc_id reachable, null if none
+    of them has one; first_id: the smallest doc_id with this fingerprint.
     """
     nodes, _ = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
     of = connected_components(ball_links(nodes, max_bits), "a", "b", "simhash-cc") \
@@ -196,7 +197,7 @@ def fingerprint_groups(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         .select("fp", "first_id", F.coalesce("component", "fp").alias("component")), "simhash-members")
     least, _ = materialize(members.groupBy("component").agg(
         F.min("first_id").alias("component_id")), "simhash-least")
-    return members.join(least, "component").select("fp", "component_id", "first_id")
+    return members.join(least, "component").select("fp", "component", "component_id", "first_id")
 
 
 def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS,
@@ -217,8 +218,7 @@ def keep_first(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS,
     marked, _ = materialize(docs.withColumn("__simhash", of(F.coalesce(F.col("text"), F.lit("")))),
                             "simhash-docs")
     groups = fingerprint_groups(marked.select("doc_id", F.col("__simhash").alias("fp")), max_bits)
-    one = Window.partitionBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp"))) \
-        .orderBy("fp")
+    one = Window.partitionBy("component").orderBy("fp")
     chosen, _ = materialize(
         groups.where(F.col("first_id").eqNullSafe(F.col("component_id")))
         .withColumn("__n", F.row_number().over(one)).where("__n = 1")

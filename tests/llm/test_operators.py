@@ -219,6 +219,19 @@ def test_simhash_odd_rows(odd, none):
     assert simhash.near_duplicates(none).count() == simhash.keep_first(none).count() == 0
 
 
+def test_keep_first_without_ids(spark):
+    """Near-duplicates that all lack doc_id are one group; a repeated doc_id joins no groups."""
+    words = [f"w{i * 7919 % 1009}" for i in range(400)]
+    text = " ".join(words)
+    changed = [" ".join([*words[:k], "other", *words[k + 1:]]) for k in range(400)]
+    gap = [(simhash.fingerprint(text) ^ simhash.fingerprint(c)).bit_count() for c in changed]
+    near = changed[next(i for i, g in enumerate(gap) if 1 <= g <= 4)]
+    far = " ".join(f"z{i * 31 % 997}" for i in range(300))
+    rows = [(None, text), (None, near), (None, far), (1, "one " + far[::-1]), (1, "two " + text[::-1])]
+    kept = [r.text for r in simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(kept) == 4 and sum(k in (text, near) for k in kept) == 1
+
+
 def test_components_on_long_chains(spark):
     links = [(i, i + 1) for i in range(1, 60)] + [(100, 200), (200, 300), (5, 5), (None, 7)]
     got = components.connected_components(spark.createDataFrame(links, "x long, y long"), "x", "y")
