@@ -43,7 +43,7 @@ _RUN = re.compile(r"(.)\1+")
 def shape(word: str) -> str:
     """Letters to x or X, digits to 9, runs of one sign to that sign."""
     signs = "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c
-                    for c in word[:64])
+                    for c in word)
     return _RUN.sub(r"\1", signs)
 
 

@@ -111,6 +111,11 @@ def test_words_match_plain_splitting():
         assert len(place) == sum(max(0, len(w) + 3 - n) for w in plain)
 
 
+def test_shape_reads_the_whole_word():
+    assert quality.shape("a" * 70 + "9Z") == "x9X"
+    assert quality.shape("https://x.org/" + "Ab" * 40 + "=") == quality.shape("https://x.org/" + "Ab" * 40) + "="
+
+
 @pytest.mark.parametrize("module,column", [(quality, "quality"), (toxicity, "toxic")])
 def test_classifiers_on_odd_rows(spark, odd, none, module, column):
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (4, 0, 1), (7, None, None), (None, 1, 1), (5, 1, 0)],
