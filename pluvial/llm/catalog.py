@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pluvial.llm.ann import op9_ann
 from pluvial.llm.common import shipped
+from pluvial.llm.divergence import ORACLE as _OP12
+from pluvial.llm.divergence import op12_divergence
 from pluvial.llm.extract import op7_extract
 from pluvial.llm.langid import op6_langid
 from pluvial.llm.mixing import op4_mixing
@@ -16,7 +18,7 @@ from pluvial.llm.toxicity import op1_toxicity
 
 QUERIES = {f.__name__: shipped(f) for f in (
     op1_toxicity, op2_secrets, op3_simhash, op4_mixing, op5_quality, op6_langid, op7_extract,
-    op8_semdedup, op9_ann, op10_packing)}
+    op8_semdedup, op9_ann, op10_packing, op12_divergence)}
 
 #: Links are counted pair by pair, components by a recursive walk.
 _OP8 = """
@@ -38,4 +40,4 @@ SELECT l.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, l.component_
 FROM least l LEFT JOIN n USING (vec_id)
 """
 
-ORACLE_SQL = {"op8_semdedup": _OP8}
+ORACLE_SQL = {"op8_semdedup": _OP8, "op12_divergence": _OP12}
