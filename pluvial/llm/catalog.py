@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pluvial.llm.alignment import op13_alignment
 from pluvial.llm.ann import op9_ann
 from pluvial.llm.common import shipped
 from pluvial.llm.divergence import ORACLE as _OP12
@@ -18,7 +19,7 @@ from pluvial.llm.toxicity import op1_toxicity
 
 QUERIES = {f.__name__: shipped(f) for f in (
     op1_toxicity, op2_secrets, op3_simhash, op4_mixing, op5_quality, op6_langid, op7_extract,
-    op8_semdedup, op9_ann, op10_packing, op12_divergence)}
+    op8_semdedup, op9_ann, op10_packing, op12_divergence, op13_alignment)}
 
 #: Links are counted pair by pair, components by a recursive walk.
 _OP8 = """
