@@ -9,6 +9,7 @@ from pluvial.llm.divergence import ORACLE as _OP12
 from pluvial.llm.divergence import op12_divergence
 from pluvial.llm.extract import op7_extract
 from pluvial.llm.langid import op6_langid
+from pluvial.llm.lmscoring import op11_lmscoring
 from pluvial.llm.mixing import op4_mixing
 from pluvial.llm.packing import op10_packing
 from pluvial.llm.quality import op5_quality
@@ -19,7 +20,8 @@ from pluvial.llm.toxicity import op1_toxicity
 
 QUERIES = {f.__name__: shipped(f) for f in (
     op1_toxicity, op2_secrets, op3_simhash, op4_mixing, op5_quality, op6_langid, op7_extract,
-    op8_semdedup, op9_ann, op10_packing, op12_divergence, op13_alignment)}
+    op8_semdedup, op9_ann, op10_packing, op11_lmscoring, op12_divergence,
+    op13_alignment)}
 
 #: Links are counted pair by pair, components by a recursive walk.
 _OP8 = """
