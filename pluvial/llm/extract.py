@@ -15,15 +15,20 @@ elements; the body adds what stands directly in it.
 
 Blocks keep page order.  Menus, headers, footers, side bars, notices, adverts,
 forms, reader comments, scripts and styles inside a container are left out by
-their tag or class; a header that holds the main heading stays.  A mark by name,
-or that of a form, does not hold for an element around the article itself.  Character
-references are decoded, white space in a block becomes one space, blocks are
-joined by one space.
+their tag or class, also where they stand inside a line of text; a header that holds
+the main heading stays.  A mark by name, or that of a form, does not hold for an
+element around the article itself.  Character references are decoded, white space in
+a block becomes one space, blocks are joined by one space.
 
 Null, empty and cut-off pages are read as far as they go (an open tag at the
-end is dropped); pages without any container are read whole.  Pages without
-url or host vote and win among themselves.  Repeated rows are rows of their
-own; an empty table gives an empty result.
+end is dropped); pages without any container are read whole.  An open select,
+object or drawing ends with the block around it.  Very long and very deep pages are
+read whole, in time and memory that grow with their length: paths are kept as
+hashes, step by step, and written out for votes only.  Of containers with equal scores
+the first in page order votes; of paths with equal votes the first as text wins.
+Pages without url or host vote and win among themselves.  Repeated rows are rows of
+their own; an empty table gives an empty result.  Other columns of the input are not
+read, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,14 +39,15 @@ from dataclasses import dataclass, field
 from html import unescape
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pluvial.llm.common import materialize, table
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|iframe|textarea|select|object)\b.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    r"|<(?P<raw>script|style|noscript|template|iframe|textarea)(?=[\s/>]).*?(?:</(?P=raw)(?:[\s/][^>]*)?>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:(?:\"[^\"]*\"|'[^']*'|[^\"'>])*+(?=>))|[^>]*)>"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|</?[a-z][^>]*\Z|</\Z", re.S | re.I)
@@ -52,14 +58,19 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Tags that end a running block; all others are inside one.
 BLOCK = frozenset((
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption "
-    "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre "
+    "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre "
     "section summary table tbody td tfoot th thead title tr ul").split())
 CONTAINER = frozenset("html body article main section div td blockquote center ol ul".split())
 #: Containers that can stand for a whole article; the others are parts of its running text.
 WRAPPER = frozenset("html body article main section div td center".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 BOILERPLATE_TAG = frozenset((
-    "nav menu footer aside form head button dialog fieldset title input label iframe").split())
+    "nav menu footer aside form head button dialog fieldset title input label iframe select datalist object svg").split())
+#: Elements of a line of text, and names that do not mark these: they tell of the line's place.
+INLINE = frozenset((
+    "a abbr b bdi bdo big cite code del dfn em font i ins kbd mark q s samp small span strike strong sub sup time "
+    "tt u var").split())
+PLACE_NAME = re.compile(r"(?:^|[_-])(?:header|masthead|footer|foot|side|rail)(?=$|[_-])", re.I)
 #: Words in a class, id or role that mark a part as not of the article.
 BOILERPLATE_NAME = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav|navbar|navigation|menu\w*|breadcrumbs?|"
@@ -76,16 +87,20 @@ READERS_NAME = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|replies|reply|d
 _DIGITS = re.compile(r"\d+")
 
 
-@dataclass
+@dataclass(slots=True, eq=False)
 class Node:
     tag: str
-    path: str
+    step: str             # tag and class names
+    key: int              # hash of the path from the root
     parent: Node | None
     dropped: bool
     linked: bool
-    header: bool
+    header: Node | None   # the innermost header around, itself included
+    block: Node | None = None       # the innermost block around, itself included
+    container: Node | None = None   # the innermost container around, itself included
+    wrapper: Node | None = None     # the innermost wrapper around, itself included
+    keeper: Node | None = None      # the innermost block or marked element around, itself included
     score: float = 0.0
-    blocks: list = field(default_factory=list)   # numbers of the page's blocks inside
     mark: str = ""        # names by which the element is boilerplate, if it does not hold the article
     hard: bool = False    # boilerplate by a tag other than form, or inside one
 
@@ -103,87 +118,139 @@ def _names(attrs: str, pattern: re.Pattern) -> str:
     return " ".join(a or b or c for a, b, c in pattern.findall(attrs))
 
 
+def _key(above: int, step: str) -> int:
+    return xxhash.xxh64_intdigest(step.encode("utf-8", "replace"), above)
+
+
+def path_key(path: str) -> int:
+    """The hash that the elements with a path have."""
+    key = 0
+    for step in path.split(">")[1:]:
+        key = _key(key, step)
+    return key
+
+
+def path_of(node: Node) -> str:
+    steps = [n.step for n in _upward(node)]
+    return ">".join(reversed(steps))
+
+
+@dataclass(slots=True)
+class _Piece:
+    """Text of a block that one element, a block or a marked one, holds."""
+    keeper: Node
+    text: list[str]
+    plain: int = 0     # characters that no link holds
+
+
+class _Reader:
+    """The open elements of a page, and its blocks so far."""
+
+    def __init__(self) -> None:
+        root = Node("#root", "", 0, None, False, False, None)
+        root.block = root.container = root.wrapper = root.keeper = root
+        self.nodes, self.stack = [root], [root]
+        self.open: dict[str, int] = {}      # open elements of each tag
+        self.pieces: list[_Piece] = []      # of the running block
+        self.ended: list[tuple[Node, list[_Piece]]] = []
+
+    def text(self, piece: str) -> None:
+        top = self.stack[-1]
+        if not self.pieces or self.pieces[-1].keeper is not top.keeper:
+            self.pieces.append(_Piece(top.keeper, []))
+        self.pieces[-1].text.append(piece)
+        if not top.linked:
+            self.pieces[-1].plain += len(piece)
+
+    def end_block(self) -> None:
+        if self.pieces:
+            self.ended.append((self.stack[-1].block, self.pieces))
+            self.pieces = []
+
+    def pop(self) -> Node:
+        node = self.stack.pop()
+        self.open[node.tag] -= 1
+        return node
+
+    def is_block(self, tag: str) -> bool:
+        return tag in BLOCK and not (tag == "title" and self.open.get("svg", 0))
+
+    def end_tag(self, tag: str) -> None:
+        if self.open.get(tag, 0):
+            while self.pop().tag != tag:
+                pass
+
+    def start_tag(self, tag: str, attrs: str) -> None:
+        block = self.is_block(tag)
+        if block:
+            # running text does not go on inside a choice or a drawing
+            for outer in ("select", "svg"):
+                if self.open.get(outer, 0) and not self.open.get("foreignobject", 0):
+                    self.end_tag(outer)
+        if block and self.open.get("p", 0) and self.stack[-1].block.tag == "p":
+            self.end_tag("p")        # a block ends an open paragraph, unless something stands between them
+        if tag in ("li", "td", "tr", "dd", "dt") and self.stack[-1].tag == tag:
+            self.pop()
+        parent = self.stack[-1]
+        name = ""
+        if attrs:
+            name = ".".join(sorted(_DIGITS.sub("#", _names(attrs, _ONLY_CLASS)).lower().split())).replace(">", "&gt;")
+        mark = "form" if tag == "form" else ""
+        if attrs and tag not in ("html", "body", "article", "main"):
+            mark = " ".join(n for n in _names(attrs, _CLASS).split() if BOILERPLATE_NAME.search(n)
+                            and not (tag in INLINE and PLACE_NAME.search(n))) or mark
+        step = f"{tag}.{name}" if name else tag
+        hard = parent.hard or tag in BOILERPLATE_TAG and tag != "form"
+        node = Node(tag, step, _key(parent.key, step), parent, hard or parent.dropped or bool(mark),
+                    parent.linked or tag == "a", parent.header, mark=mark, hard=hard)
+        node.header = node if tag == "header" else parent.header
+        node.block = node if block else parent.block
+        node.container = node if tag in CONTAINER else parent.container
+        node.wrapper = node if tag in WRAPPER else parent.wrapper
+        node.keeper = node if block or mark or hard and not parent.hard else parent.keeper
+        self.nodes.append(node)
+        if not attrs.endswith("/") or block:
+            self.stack.append(node)
+            self.open[tag] = self.open.get(tag, 0) + 1
+
+
 def read_page(html: str) -> Page:
-    """A page's text blocks in order, each with its innermost element."""
-    root = Node("#root", "", None, False, False, False)
-    nodes, blocks, holders, plains = [root], [], [], []
-    stack: list[Node] = [root]
-    text: list[str] = []
-    plain = 0   # characters of the running block that no link holds
-
-    def end_block() -> None:
-        nonlocal plain
-        if text:
-            joined = " ".join(unescape("".join(text)).split())
-            if joined:
-                holder = stack[-1]
-                while holder.parent is not None and holder.tag not in BLOCK:
-                    holder = holder.parent
-                blocks.append(joined)
-                holders.append(holder)
-                plains.append(min(plain, len(joined)))
-            text.clear()
-        plain = 0
-
-    at = 0
+    """A page's text blocks in order, each with its innermost block element."""
+    reader, at = _Reader(), 0
     for token in _TOKEN.finditer(html):
         if token.start() > at:
-            piece = html[at:token.start()]
-            text.append(piece)
-            if not stack[-1].linked:
-                plain += len(piece)
+            reader.text(html[at:token.start()])
         at = token.end()
         tag = token["tag"]
         if tag is None:
             continue
         tag = tag.lower()
-        if tag in BLOCK:
-            end_block()
+        if reader.is_block(tag):
+            reader.end_block()
         if token["close"]:
-            if any(n.tag == tag for n in stack[1:]):
-                while stack[-1].tag != tag:
-                    stack.pop()
-                stack.pop()
-            continue
-        if tag in VOID:
-            continue
-        if tag in BLOCK and tag != "br" and any(n.tag == "p" for n in stack[1:]):
-            # a block ends an open paragraph, unless something stands between them
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == "p":
-                    del stack[depth:]
-                    break
-                if stack[depth].tag in BLOCK:
-                    break
-        if tag in ("li", "td", "tr", "dd", "dt") and stack[-1].tag == tag:
-            stack.pop()
-        attrs = token["attrs"] or ""
-        parent = stack[-1]
-        name = ".".join(sorted(_DIGITS.sub("#", _names(attrs, _ONLY_CLASS)).lower().split())) if attrs else ""
-        mark = "form" if tag == "form" else ""
-        if attrs and tag not in ("html", "body", "article", "main"):
-            mark = " ".join(n for n in _names(attrs, _CLASS).split() if BOILERPLATE_NAME.search(n)) or mark
-        hard = parent.hard or tag in BOILERPLATE_TAG and tag != "form"
-        node = Node(tag, f"{parent.path}>{tag}" + (f".{name}" if name else ""), parent,
-                    hard or parent.dropped or bool(mark), parent.linked or tag == "a",
-                    parent.header or tag == "header", mark=mark, hard=hard)
-        nodes.append(node)
-        if not attrs.endswith("/") or tag in BLOCK:
-            stack.append(node)
+            reader.end_tag(tag)
+        elif tag not in VOID:
+            reader.start_tag(tag, token["attrs"] or "")
     if at < len(html):
-        text.append(html[at:])
-        if not stack[-1].linked:
-            plain += len(html) - at
-    end_block()
+        reader.text(html[at:])
+    reader.end_block()
+    nodes = reader.nodes
     if any(n.mark and not n.hard for n in nodes):
-        _unmark(nodes, holders, plains)
-    for holder, n in zip(holders, plains):
-        if n and not holder.dropped:
-            _credit(holder, n)
-    return Page(blocks, holders, nodes, plains)
-
-
-def _unmark(nodes: list[Node], holders: list[Node], plains: list[int]) -> None:
+        _unmark(nodes, [p for _, pieces in reader.ended for p in pieces])
+    page = Page([], [], nodes, [])
+    for holder, pieces in reader.ended:
+        kept = [p for p in pieces if not p.keeper.dropped]
+        joined = " ".join(unescape("".join(t for p in kept for t in p.text)).split())
+        if joined:
+            page.blocks.append(joined)
+            page.holders.append(holder)
+            page.plain.append(min(sum(p.plain for p in kept), len(joined)))
+            if page.plain[-1]:
+                _credit(holder, page.plain[-1])
+    return page
+
+
+def _unmark(nodes: list[Node], pieces: list[_Piece]) -> None:
     """Take the marks off elements that stand around the article; set ``dropped`` anew.
 
     An element keeps its mark unless it holds a main, most of the page's running
@@ -194,11 +261,12 @@ def _unmark(nodes: list[Node], holders: list[Node], plains: list[int]) -> None:
     """
     text: dict[int, float] = {}       # running text inside each element
     holds: dict[int, set[str]] = {}   # h1, main, article inside, and "most": an article with most text
-    for holder, n in zip(holders, plains):
-        if not holder.hard:
-            text[id(holder)] = text.get(id(holder), 0) + n
-            if holder.tag == "h1":
-                holds.setdefault(id(holder), set()).add("h1")
+    sizes = [min(p.plain, len(" ".join("".join(p.text).split()))) for p in pieces]
+    for piece, n in zip(pieces, sizes):
+        if not piece.keeper.hard:
+            text[id(piece.keeper)] = text.get(id(piece.keeper), 0) + n
+            if piece.keeper.block.tag == "h1":
+                holds.setdefault(id(piece.keeper), set()).add("h1")
     total = sum(text.values())
     for node in reversed(nodes):      # children first
         if node.hard:
@@ -217,7 +285,7 @@ def _unmark(nodes: list[Node], holders: list[Node], plains: list[int]) -> None:
             node.dropped = node.hard or node.parent.dropped or bool(node.mark)
 
     def left() -> bool:
-        return any(n and not h.dropped for h, n in zip(holders, plains))
+        return any(n and not p.keeper.dropped for p, n in zip(pieces, sizes))
 
     marked = [n for n in nodes if n.mark and not n.hard]
     outside = any(not n.dropped and n.tag in ("main", "article", "h1") for n in nodes)
@@ -245,20 +313,27 @@ def _credit(holder: Node, n: int) -> None:
     share, node = float(n), holder
     if node.tag not in CONTAINER and node.parent is not None:
         node = node.parent
-    while node is not None and share >= n / 2:
-        if node.tag in CONTAINER or node.parent is None:
-            node.score += share
-            share /= 2
+    for _ in range(2):
+        node = node.container
+        node.score += share
+        share /= 2
+        if node.parent is None:
+            break
         node = node.parent
 
 
 def best_container(page: Page) -> tuple[str, float]:
     """(path, score) of the page's best container; ("", 0) without text."""
-    scores: dict[str, float] = {}
+    scores: dict[int, float] = {}
+    first: dict[int, Node] = {}
     for node in page.nodes:
         if node.score:
-            scores[node.path] = scores.get(node.path, 0.0) + node.score
-    return max(scores.items(), key=lambda s: (s[1], s[0])) if scores else ("", 0.0)
+            scores[node.key] = scores.get(node.key, 0.0) + node.score
+            first.setdefault(node.key, node)
+    if not scores:
+        return "", 0.0
+    best = max(scores, key=scores.__getitem__)      # of equal ones the first in page order
+    return path_of(first[best]), scores[best]
 
 
 def _own(page: Page) -> dict[int, list[tuple[int, bool]]]:
@@ -266,16 +341,14 @@ def _own(page: Page) -> dict[int, list[tuple[int, bool]]]:
     own: dict[int, list[tuple[int, bool]]] = {}
     for i, holder in enumerate(page.holders):
         if not holder.dropped and (page.plain[i] or holder.tag in HEADING):
-            node = holder
-            while node.tag not in WRAPPER and node.parent is not None:
-                node = node.parent
-            own.setdefault(id(node), []).append((i, holder.header))
+            own.setdefault(id(holder.wrapper), []).append((i, holder.header is not None))
     return own
 
 
 def widened(page: Page, path: str) -> tuple[set[int], set[int]]:
     """(elements, blocks) of the article that the elements with the path are of."""
-    found = [n for n in page.nodes if n.path == path and not n.dropped]
+    key = path_key(path)
+    found = [n for n in page.nodes if n.key == key and not n.dropped]
     elements, blocks = {id(n) for n in found}, set()
     if not found or not path:
         return elements, blocks
@@ -283,7 +356,13 @@ def widened(page: Page, path: str) -> tuple[set[int], set[int]]:
     shared: dict[int, int] = {}
     for n in found:
         shared[id(n.parent)] = shared.get(id(n.parent), 0) + 1
-    top_heads = {id(n) for i, h in enumerate(page.holders) if h.tag == "h1" and not h.dropped for n in _upward(h)}
+    top_heads: set[int] = set()
+    for h in page.holders:
+        if h.tag == "h1" and not h.dropped:
+            for n in _upward(h):
+                if id(n) in top_heads:
+                    break
+                top_heads.add(id(n))
     titled = any(id(n) in top_heads for n in found)
     done: set[tuple[int, bool]] = set()
     for n in found:
@@ -317,23 +396,18 @@ def _upward(node: Node | None) -> Iterator[Node]:
 
 def text_at(page: Page, path: str) -> str:
     """The article text of and around all elements with the path."""
-    main_headers = set()
-    for holder in page.holders:
-        if holder.tag == "h1" and holder.header:
-            node = holder
-            while node is not None and node.tag != "header":
-                node = node.parent
-            main_headers.add(id(node))
+    main_headers = {id(h.header) for h in page.holders if h.tag == "h1" and h.header is not None}
     elements, blocks = widened(page, path)
+    # of each element: whether it is in the article, and the innermost header between them
+    within: dict[int, tuple[bool, Node | None]] = {}
+    for node in page.nodes:      # parents first
+        inside, header = within[id(node.parent)] if node.parent is not None else (False, None)
+        if id(node) in elements:
+            inside, header = True, None
+        within[id(node)] = inside, node if node.tag == "header" else header
     out = []
     for i, (block, holder) in enumerate(zip(page.blocks, page.holders)):
-        if holder.dropped:
-            continue
-        inside, header = False, None
-        for node in _upward(holder):
-            if node.tag == "header" and header is None and not inside:
-                header = node
-            inside = inside or id(node) in elements
+        inside, header = within[id(holder)]
         if i in blocks or inside and (header is None or id(header) in main_headers):
             out.append(block)
     return " ".join(out)
