@@ -21,8 +21,10 @@ fourth one, so only such positions are looked at, and the run is read around the
 
 Matches of a kind do not overlap: each search goes on behind the match before,
 also behind one that is dropped for its length.  Spans are (kind, start, end)
-in code points.  Null and empty texts have no spans; every row has a result of
-its own; an empty table gives an empty result.
+in code points.  Null and empty texts have no spans; very long texts are read whole, in
+time that grows with their length, whatever they hold; every row has a result of
+its own, repeated rows equal ones; an empty table gives an empty result.  Only
+doc_id and text are read; other columns, whatever their names, are left as they are.
 """
 
 from __future__ import annotations
@@ -52,9 +54,11 @@ HEX = re.compile(r"[0-9a-f]+")
 CHECKED = {
     "forge": re.compile(r"gh[pousr]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])"),
     "package": re.compile(r"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])"),
-    "jwt": re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+"),
-    "pem": re.compile(r"-----BEGIN ((?:[A-Z]+ )*)PRIVATE KEY-----\s+([A-Za-z0-9+/=\s]+?)\s*-----END \1PRIVATE KEY-----"),
+    "jwt": re.compile(r"(eyJ[A-Za-z0-9_-]++)\.(eyJ[A-Za-z0-9_-]++)\.[A-Za-z0-9_-]++"),
 }
+_JWT_RUN = re.compile(r"[A-Za-z0-9_-]*+")
+_PEM_HEAD = re.compile(r"-----BEGIN ((?:[A-Z]+ )*)PRIVATE KEY-----")
+_PEM_BODY = re.compile(r"\s[A-Za-z0-9+/=\s]++")
 #: What begins a secret of each kind, in lower case.
 KEYWORDS = {
     "assign": ("password", "passwd", "secret", "token", "api_key", "apikey"),
@@ -84,20 +88,36 @@ def _decoded(part: str) -> bytes | None:
         return None
 
 
-def valid(kind: str, match: re.Match) -> bool:
-    """The secret's own checksum or structure holds."""
-    if kind in ("forge", "package"):
-        return base62(zlib.crc32(match[1].encode())) == match[2]
+def _coded(text: str, start: int, kind: str) -> tuple[int, bool]:
+    """(where the search goes on, whether it ends a secret) of a token at ``start``.
+
+    A position in a run of ``jwt`` letters matches if the run's end goes on as it
+    must, so a run that does not match is passed as a whole.
+    """
+    match = CHECKED[kind].match(text, start)
+    if not match:
+        return (_JWT_RUN.match(text, start).end() if kind == "jwt" and text.startswith("eyJ", start) else start), False
     if kind == "jwt":
         try:
             head = json.loads(_decoded(match[1]) or b"")
-        except ValueError:   # also of the decoding of the bytes
-            return False
-        return isinstance(head, dict) and "alg" in head
-    try:   # pem
-        return len(base64.b64decode("".join(match[2].split()), validate=True)) >= 32
+        except (ValueError, RecursionError):   # also of the decoding of the bytes
+            return match.end(), False
+        return match.end(), isinstance(head, dict) and "alg" in head
+    return match.end(), base62(zlib.crc32(match[1].encode())) == match[2]
+
+
+def _key_block(text: str, start: int) -> tuple[int, bool]:
+    """As ``_coded``, of a key block: its body is read once, up to what ends it."""
+    head = _PEM_HEAD.match(text, start)
+    body = _PEM_BODY.match(text, head.end()) if head else None
+    end = f"-----END {head[1]}PRIVATE KEY-----" if body else ""
+    if not body or not text.startswith(end, body.end()):
+        return start, False
+    try:
+        good = len(base64.b64decode("".join(body[0].split()), validate=True)) >= 32
     except (binascii.Error, ValueError):
-        return False
+        good = False
+    return body.end() + len(end), good
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -138,17 +158,15 @@ def spans(text: str, keywords: ahocorasick.Automaton) -> list[tuple[str, int, in
             continue
         if kind == "assign":
             match = ASSIGN.match(text, start)
-            good = match and len(match[2]) >= ASSIGN_LEAST
+            end, good = (match.end(), len(match[2]) >= ASSIGN_LEAST) if match else (start, False)
         elif kind == "access":
             match = ACCESS.match(text, start)
-            good = match and match.end() - start >= ACCESS_LEAST
+            end, good = (match.end(), match.end() - start >= ACCESS_LEAST) if match else (start, False)
         else:
-            match = CHECKED[kind].match(text, start)
-            good = match and valid(kind, match)
-        if match:
-            done[kind] = match.end()
+            end, good = _key_block(text, start) if kind == "pem" else _coded(text, start, kind)
+        done[kind] = max(done[kind], end)
         if good:
-            found.append((kind, start, match.end()))
+            found.append((kind, start, end))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
