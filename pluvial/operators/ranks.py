@@ -59,3 +59,24 @@ def spearman(long: DataFrame, group: str, x: str, y: str, digits: int = 6) -> Da
     return ranked.groupBy(group).agg(
         F.count(F.lit(1)).alias("n"),
         F.round(F.corr("_rx", "_ry"), digits).alias("spearman_rho"))
+
+
+def number_rows(df: DataFrame, order: Sequence[str], column: str, after: int = 0,
+                partitions: int | None = None) -> DataFrame:
+    """``df`` with ``column`` = after + 1, after + 2, ... in the order of ``order``.
+
+    Numbers are dense and no two rows share one.  As above, rows are numbered
+    inside range partitions, and a partition's offset is the prefix sum of the
+    sizes of those before it: one row per partition, whatever the data.
+    ``order`` should name a row; rows it cannot tell apart are numbered in any order.
+    """
+    spark = df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = reliable_checkpoint(df.repartitionByRange(n_parts, *order).withColumn("_part", F.spark_partition_id()))
+    inside = Window.partitionBy("_part").orderBy(*order)
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) + F.lit(after)).alias("_offset"))
+    return (placed.withColumn("_nth", F.row_number().over(inside)).join(offsets, "_part")
+            .withColumn(column, F.col("_offset") + F.col("_nth"))
+            .select(*df.columns, column))

@@ -226,7 +226,7 @@ FINAL = {
     "stg_patients": "SELECT * FROM stg_patients",
     "stg_encounters": "SELECT * FROM stg_encounters",
     "stg_conditions": "SELECT * FROM stg_conditions",
-    "stg_weather": "SELECT lat, lon, weather_date, tavg, tmin, tmax, prcp, pres FROM stg_weather",
+    "stg_weather": "SELECT row_number() OVER (ORDER BY lat, lon, weather_date) AS weather_id, * FROM stg_weather",
     "stg_icd_codes": "SELECT * FROM stg_icd_codes",
     # --- intermediate -------------------------------------------------------------
     "int_patient_conditions": """
@@ -267,7 +267,7 @@ FROM (SELECT DISTINCT condition_id, condition_code, condition_code_system, condi
       FROM stg_conditions) c
 LEFT JOIN stg_icd_codes i ON i.code = c.condition_code""",
     "dim_weather": """
-SELECT lat, lon, weather_date, tavg, tmin, tmax, prcp, pres,
+SELECT row_number() OVER (ORDER BY lat, lon, weather_date) AS weather_id, lat, lon, weather_date, tavg, tmin, tmax, prcp, pres,
        CASE WHEN prcp IS NULL THEN 'Unknown' WHEN prcp = 0 THEN 'Dry'
             WHEN prcp < 2.5 THEN 'Light rain' WHEN prcp < 7.6 THEN 'Moderate rain'
             ELSE 'Heavy rain' END AS rain_category,
@@ -573,8 +573,28 @@ FINAL["bundle_patients"] = "SELECT * FROM raw_patients"
 FINAL["bundle_encounters"] = "SELECT * FROM raw_encounters"
 FINAL["bundle_conditions"] = "SELECT * FROM raw_conditions"
 
-FINAL["stream_weather_landing"] = "SELECT lat, lon, date, tavg, tmin, tmax, prcp, pres FROM raw_weather"
+FINAL["stream_weather_landing"] = "SELECT row_number() OVER (ORDER BY lat, lon, date) AS id, * FROM raw_weather"
 FINAL["stream_bundle_conditions"] = "SELECT * FROM raw_conditions"
+FINAL["store_reload_compacted"] = """
+SELECT condition_id, patient_id, encounter_id, clinical_status, verification_status, category_code,
+       condition_code, condition_code_system, condition_display, onset_datetime, recorded_date,
+       abatement_datetime
+FROM (SELECT *, row_number() OVER (PARTITION BY condition_id
+                ORDER BY CASE WHEN o_shipdate < TIMESTAMP '1995-01-01 00:00:00' THEN 1
+                              WHEN o_shipdate < TIMESTAMP '1997-01-01 00:00:00' THEN 2 ELSE 3 END,
+                         o_partkey, o_suppkey, o_shipdate, o_quantity, o_extendedprice, o_returned) AS load_rank
+      FROM condition_batch)
+WHERE load_rank = 1"""
+FINAL["stream_rejected_rows"] = """
+SELECT 'encounters' AS table_name,
+       CASE WHEN encounter_id LIKE '%7' THEN 'NULL in patient_id' ELSE 'no patients for patient_id' END AS reason,
+       encounter_id AS id
+FROM raw_encounters WHERE encounter_id LIKE '%7' OR patient_id LIKE '%3'
+UNION ALL
+SELECT 'conditions',
+       CASE WHEN patient_id LIKE '%3' THEN 'no patients for patient_id' ELSE 'no encounters for encounter_id' END,
+       condition_id
+FROM raw_conditions WHERE patient_id LIKE '%3' OR encounter_id LIKE '%7'"""
 
 FINAL["k_weather_spearman"] = """
 , factor_pairs AS (

@@ -8,7 +8,11 @@
 - ``check_raw``      DQ1-DQ5 + B3: the constraint gate before any model build
 - ``build_marts``    B5 + B6: staging/intermediate as temp views, marts written
 
-A raw table is a list of load folders.  A load writes its new rows to a folder
+``store_bundles``, ``store_weather`` and ``store_icd`` are these loads into a store
+(``plans.store``), which keeps the lists of load folders itself; ``build_marts`` reads
+from one too.
+
+Without a store, a raw table is a list of load folders.  A load writes its new rows to a folder
 of its own, checks them there (B3: keys, NOT NULL, foreign keys) and returns the
 longer list; the folders that are already in it are never rewritten.  A failed
 load returns no list, so its folder is part of no table, and a retry under the
@@ -26,8 +30,10 @@ from pyspark.sql import functions as F
 
 from pluvial import schemas
 from pluvial.operators import quality as Q
+from pluvial.operators.ranks import number_rows
 from pluvial.operators.upsert import fresh_rows, split_null_keys, upsert_replace
 from pluvial.plans import checks
+from pluvial.plans.store import LOADED_AT, Load, RawStore, State
 from pluvial.plans.warehouse import Warehouse
 from pluvial.session import reliable_checkpoint, scratch_path
 from pluvial.sources import bundles as B
@@ -36,9 +42,6 @@ from pluvial.sources.weather import clean_observations, coverage_gaps
 
 log = logging.getLogger(__name__)
 
-LOADED_AT = "loaded_at"
-
-
 def stamp(df: DataFrame) -> DataFrame:
     """A14: the load time of every inserted row."""
     return df.withColumn(LOADED_AT, F.current_timestamp())
@@ -122,7 +125,10 @@ def load_weather(spark: SparkSession, observations: DataFrame, raw_dir: str, ver
     path, n = _write_load(stamp(unkeyed), raw_dir, "rejected_weather", version)
     if n:
         raise Q.QualityError(f"{n} observations without a key, see {path}")
-    fresh = fresh_rows(batch, keys, lineage or ["id"], read_table(spark, before) if before else None)
+    stored = read_table(spark, before) if before else None
+    fresh = fresh_rows(batch, keys, lineage, stored)
+    last = stored.agg(F.max("id")).first()[0] if before else None
+    fresh = number_rows(fresh, keys, "id", last or 0)
     path, n = _write_load(stamp(fresh.select(*schemas.columns(schemas.WEATHER))), raw_dir, "weather",
                           version, before)
     log.info("weather: %s new rows", n)
@@ -160,11 +166,65 @@ def load_icd(spark: SparkSession, documents: DataFrame, root_url: str, raw_dir:
     return [path]
 
 
-def check_raw(spark: SparkSession, paths: dict[str, str | list[str]]) -> DataFrame:
+def store_bundles(store: RawStore, landing: str, version: str, layout: str = "file",
+                  glob: str = "*.json") -> State:
+    """``load_bundles`` into a store: all tables of the load are published at once."""
+    load = Load(store, f"bundles-{version}")
+    try:
+        good, rejected = B.quarantine(load.kept(B.entries(B.scan(store.spark, landing, layout, glob)), "bundles"))
+        n = load.add_log("rejected_bundles", B.rejects(rejected))
+        if n:
+            log.warning("rejected %s bundles", n)
+        for name in ("patients", "encounters", "conditions"):
+            load.add(name, getattr(B, name)(good), list(B.LINEAGE), origin=B.LINEAGE)
+        return load.commit()
+    finally:
+        load.close()
+
+
+def store_weather(store: RawStore, observations: DataFrame, version: str, plan: DataFrame | None = None) -> State:
+    """``load_weather`` into a store."""
+    load = Load(store, f"weather-{version}")
+    try:
+        lineage = [c for c in ("_file", "_row") if c in observations.columns]
+        load.add("weather", clean_observations(observations, keep=tuple(lineage)), lineage, origin=lineage)
+        if plan is not None:
+            n = load.add_log("weather_gaps", coverage_gaps(plan, load.table("weather")))
+            if n:
+                log.warning("no observations for %s planned locations", n)
+        return load.commit()
+    finally:
+        load.close()
+
+
+def store_icd(store: RawStore, documents: DataFrame, root_url: str, version: str,
+              links: DataFrame | None = None) -> State:
+    """``load_icd`` into a store: the code table's one folder is replaced."""
+    load = Load(store, f"codes-{version}")
+    links = links_from_documents(documents) if links is None else links
+    batch = reliable_checkpoint(
+        flatten(store.spark, parse_entities(documents), links, root_url).select(*schemas.columns(schemas.ICD_CODES)))
+    if batch.isEmpty():
+        log.warning("no codes found below %s", root_url)
+        return load.read
+    _gate({"icd_codes": batch}, {})
+    keys = schemas.KEYS["icd_codes"]
+    Q.enforce(Q.unique(batch, "icd_codes", keys))
+    load.replace("icd_codes", upsert_replace(load.table("icd_codes"), stamp(batch), keys, keys))
+    return load.commit()
+
+
+def _raw(spark: SparkSession, paths: dict[str, str | list[str]] | RawStore) -> SimpleNamespace:
+    """The raw tables of a store's state now, or of lists of load folders."""
+    if isinstance(paths, RawStore):
+        state = paths.state()
+        return SimpleNamespace(**{n: paths.table(n, state).drop(LOADED_AT) for n in checks.RAW_TABLES})
+    return SimpleNamespace(**{n: read_table(spark, paths[n]).drop(LOADED_AT) for n in checks.RAW_TABLES})
+
+
+def check_raw(spark: SparkSession, paths: dict[str, str | list[str]] | RawStore) -> DataFrame:
     """Run the DQ suite over written raw tables and raise on any failure."""
-    raw = SimpleNamespace(**{n: read_table(spark, paths[n]).drop(LOADED_AT)
-                             for n in checks.RAW_TABLES})
-    return Q.enforce(checks.dq_report(raw))
+    return Q.enforce(checks.dq_report(_raw(spark, paths)))
 
 
 def register_views(spark: SparkSession, wh: Warehouse) -> None:
@@ -174,13 +234,11 @@ def register_views(spark: SparkSession, wh: Warehouse) -> None:
         getattr(wh, name).createOrReplaceTempView(name)
 
 
-def build_marts(spark: SparkSession, paths: dict[str, str | list[str]], marts_dir: str,
+def build_marts(spark: SparkSession, paths: dict[str, str | list[str]] | RawStore, marts_dir: str,
                 gate: bool = True) -> dict[str, str]:
     """B6: rebuild every mart from the current raw versions."""
     if gate:
         check_raw(spark, paths)
-    raw = SimpleNamespace(**{n: read_table(spark, paths[n]).drop(LOADED_AT)
-                             for n in checks.RAW_TABLES})
-    wh = Warehouse(raw)
+    wh = Warehouse(_raw(spark, paths))
     register_views(spark, wh)
     return wh.materialize(marts_dir)

@@ -74,8 +74,9 @@ def dim_conditions(stg_conditions: DataFrame, stg_icd_codes: DataFrame) -> DataF
 
 
 def dim_weather(stg_weather: DataFrame) -> DataFrame:
+    key = ["weather_id"] if "weather_id" in stg_weather.columns else []
     return stg_weather.select(
-        "weather_id", "lat", "lon", "weather_date", "tavg", "tmin", "tmax", "prcp", "pres",
+        *key, "lat", "lon", "weather_date", "tavg", "tmin", "tmax", "prcp", "pres",
         rain_category("prcp").alias("rain_category"),
         temp_category("tavg").alias("temp_category"),
     )

@@ -43,8 +43,10 @@ def stg_conditions(conditions: DataFrame) -> DataFrame:
 
 
 def stg_weather(weather: DataFrame) -> DataFrame:
+    """Stored weather has an id; models of measures also take it before it is stored."""
+    key = [F.col("id").alias("weather_id")] if "id" in weather.columns else []
     return weather.select(
-        F.col("id").alias("weather_id"), "lat", "lon", F.col("date").alias("weather_date"),
+        *key, "lat", "lon", F.col("date").alias("weather_date"),
         "tavg", "tmin", "tmax", "prcp", "pres",
     )
 

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from pluvial import schemas
 from pluvial.functions.exprs import round_half_up
+from pluvial.operators.ranks import number_rows
 from pluvial.operators.upsert import first_wins
 from pluvial.sources.tables import Tables
 from pluvial.sources.weather import clean_observations
@@ -206,10 +207,15 @@ def weather_observations(t: Tables) -> DataFrame:
 
 
 def weather(t: Tables) -> DataFrame:
-    """Raw weather = cleaned observations keyed by a stable surrogate id."""
+    """Raw weather = cleaned observations, still without their surrogate id."""
     return clean_observations(weather_observations(t))
 
 
+def numbered_weather(t: Tables) -> DataFrame:
+    """Raw weather as one load stores it: numbered by its natural key (A13)."""
+    return number_rows(weather(t), schemas.KEYS["weather"], "id").select(*schemas.columns(schemas.WEATHER))
+
+
 def icd_codes(t: Tables) -> DataFrame:
     p = t.part.select("p_partkey").select(F.expr("p_partkey % 30").alias("k"))
     return (
@@ -246,6 +252,10 @@ class RawLayer:
     def weather(self) -> DataFrame:
         return weather(self.tables)
 
+    @property
+    def numbered_weather(self) -> DataFrame:
+        return numbered_weather(self.tables)
+
     @property
     def icd_codes(self) -> DataFrame:
         return icd_codes(self.tables)
@@ -421,6 +431,16 @@ class Landed:
         return table
 
 
+def with_orphans(raw) -> SimpleNamespace:
+    """The clinical tables without the patients whose id ends with 3, and with
+    visits whose id ends with 7 that name no patient."""
+    return SimpleNamespace(
+        patients=raw.patients.where(~F.col("id").endswith("3")),
+        encounters=raw.encounters.withColumn(
+            "patient_id", F.when(~F.col("encounter_id").endswith("7"), F.col("patient_id"))),
+        conditions=raw.conditions)
+
+
 def damaged(raw) -> SimpleNamespace:
     """The raw tables with planted faults: patients missing (orphans), visits
     twice (duplicates), conditions without a key, and swapped temperatures."""

@@ -1,5 +1,6 @@
-"""Weather landing: request plan (A11), cleaning (A12), surrogate key (A13)
-and the coverage-gap report (B7).
+"""Weather landing: request plan (A11), cleaning (A12) and the coverage-gap
+report (B7).  The surrogate key (A13) is given when rows are stored
+(``ranks.number_rows``): dense, free of collisions, after the stored maximum.
 
 The warehouse fetched one series per rounded patient location over the span
 of that location's visits.  Here observations arrive as landed files; the
@@ -45,23 +46,14 @@ def request_plan(patients: DataFrame, encounters: DataFrame,
     )
 
 
-def surrogate_key(lat: Column | str = "lat", lon: Column | str = "lon",
-                  day: Column | str = "date") -> Column:
-    """Stable 64-bit id of a (lat, lon, date) row, computed in parallel."""
-    return F.xxhash64(F.col(lat) if isinstance(lat, str) else lat,
-                      F.col(lon) if isinstance(lon, str) else lon,
-                      F.col(day) if isinstance(day, str) else day)
-
-
 def clean_observations(obs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """NaN -> NULL, drop days with tavg, prcp and pres all missing, add ``id``.
+    """NaN -> NULL, drop days with tavg, prcp and pres all missing.
 
     ``keep`` names extra columns (e.g. load-order lineage) carried through.
     """
     cleaned = obs.select("lat", "lon", "date", *[nan_to_null(m).alias(m) for m in MEASURES],
                          *keep)
-    cleaned = cleaned.na.drop(how="all", subset=list(KEY_MEASURES))
-    return cleaned.select(surrogate_key().alias("id"), "lat", "lon", "date", *MEASURES, *keep)
+    return cleaned.na.drop(how="all", subset=list(KEY_MEASURES))
 
 
 def coverage_gaps(plan: DataFrame, weather: DataFrame) -> DataFrame:
