@@ -25,6 +25,7 @@ result.  Other columns of the input are not read, whatever their names.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
@@ -57,6 +58,10 @@ class Tokens:
         """Ids of a space and each text."""
         raise NotImplementedError
 
+    def spells(self, ids: np.ndarray, text: str) -> bool:
+        """The ids' bytes are those of a space and the text."""
+        return b"".join(map(self.data.__getitem__, ids.tolist())) == (" " + text).encode("utf-8")
+
 
 class ByteTokens(Tokens):
     """A byte-level BPE file.  Its vocabulary is in merge order, so ``tiktoken``
@@ -73,6 +78,7 @@ class ByteTokens(Tokens):
         plain = _byte_of_sign()
         ranks = {bytes(plain[c] for c in token): i for token, i in spec["model"]["vocab"].items()
                  if token not in special}
+        self.as_is = spec.get("normalizer") is None
         self.data = [b""] * (1 + max(spec["model"]["vocab"].values()))
         for token, i in ranks.items():
             self.data[i] = token
@@ -92,6 +98,11 @@ class ByteTokens(Tokens):
         return out
 
 
+    def spells(self, ids: np.ndarray, text: str) -> bool:
+        # a text's bytes are merged, never changed, unless a normalizer comes before
+        return self.as_is or super().spells(ids, text)
+
+
 def parts(text: str, size: int = PART_CHARS) -> list[str]:
     """A text cut at single spaces between other characters, without these
     spaces, into parts of about ``size`` characters."""
@@ -146,7 +157,7 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, first: np.ndarray, last:
     """
     cut = np.zeros(len(ends_a), bool)
     cut[last] = True
-    lo, hi = first.copy(), last.copy()         # ends still to look at: lo .. hi - 1
+    lo, hi = first.copy(), last.copy()         # ends still to look at: lo .. hi - 1, in rising order
     reach = np.zeros(len(lo), np.int64)        # ends nearer to the middle than this are not shared
     while True:
         open_ = lo < hi
@@ -159,27 +170,32 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, first: np.ndarray, last:
         below = np.maximum(middle - wide + 1, lo)
         n_below = np.maximum(np.minimum(middle - reach, middle - 1) + 1 - below, 0)
         above = middle + reach
-        n_above = np.maximum(np.minimum(middle + wide, hi) - above, 0)
-        n = n_below + n_above
+        n = n_below + np.maximum(np.minimum(middle + wide, hi) - above, 0)
         of = np.repeat(np.arange(len(lo)), n)
-        step = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-        at = np.where(step < n_below[of], below[of] + step, above[of] + step - n_below[of])
-        place = np.searchsorted(ends_b, ends_a[at])
-        hit = ends_b[np.minimum(place, len(ends_b) - 1)] == ends_a[at]
-        far = np.abs(at[hit] - middle[of[hit]])
-        order = np.lexsort((far, of[hit]))
-        of_hit, at_hit = of[hit][order], at[hit][order]
-        nearest = np.ones(len(of_hit), bool)
-        nearest[1:] = of_hit[1:] != of_hit[:-1]
-        split, here = of_hit[nearest], at_hit[nearest]
-        cut[here] = True
-        on = np.ones(len(lo), bool)
-        on[split] = False
-        on &= (middle - wide >= lo) | (middle + wide < hi)      # else a leaf: all its ends were looked up
-        again = np.zeros(2 * len(split), np.int64)
-        lo, hi, reach = (np.concatenate([lo[on], lo[split], here + 1]),
-                         np.concatenate([hi[on], here, hi[split]]),
-                         np.concatenate([wide[on], again]))
+        step = np.arange(len(of)) - (np.cumsum(n) - n)[of]
+        at = below[of] + step
+        over = step - n_below[of]
+        at[over >= 0] = (above[of] + over)[over >= 0]
+        ends = ends_a[at]
+        place = np.searchsorted(ends_b, ends)      # rising ends: each bisect starts where the last one ended
+        hit = np.flatnonzero(ends_b[np.minimum(place, len(ends_b) - 1)] == ends)
+        of_hit, at_hit = of[hit], at[hit]
+        if (n > 1).any():       # several in an interval: the nearest
+            order = np.lexsort((np.abs(at_hit - middle[of_hit]), of_hit))
+            of_hit, at_hit = of_hit[order], at_hit[order]
+            nearest = np.ones(len(of_hit), bool)
+            nearest[1:] = of_hit[1:] != of_hit[:-1]
+            of_hit, at_hit = of_hit[nearest], at_hit[nearest]
+        cut[at_hit] = True
+        # an interval is split in two, or goes on, or is a leaf: all its ends were looked up
+        times = ((middle - wide >= lo) | (middle + wide < hi)).astype(np.int64)
+        times[of_hit] = 2
+        split = np.repeat(times == 2, times)
+        begin = np.cumsum(times) - times
+        lo, hi, reach = np.repeat(lo, times), np.repeat(hi, times), np.repeat(wide, times)
+        reach[split] = 0
+        hi[begin[of_hit]] = at_hit
+        lo[begin[of_hit] + 1] = at_hit + 1
 
 
 class Aligned:
@@ -188,9 +204,7 @@ class Aligned:
     def __init__(self, texts: list[str], a: Tokens, b: Tokens) -> None:
         ids_a, ids_b = a.encode(texts), b.encode(texts)
         for i, text in enumerate(texts):
-            whole = (" " + text).encode("utf-8") if text else b""
-            if not whole or any(b"".join(map(t.data.__getitem__, ids[i].tolist())) != whole
-                                for t, ids in ((a, ids_a), (b, ids_b))):
+            if not text or not all(t.spells(ids[i], text) for t, ids in ((a, ids_a), (b, ids_b))):
                 ids_a[i] = ids_b[i] = np.empty(0, np.int64)
         self.n_a = np.array([len(x) for x in ids_a], np.int64)
         self.n_b = np.array([len(x) for x in ids_b], np.int64)
@@ -202,32 +216,29 @@ class Aligned:
         doc_a = np.repeat(np.arange(len(texts)), self.n_a)
         cut = shared_cuts(ends_a, ends_b, (last - self.n_a + 1)[full], last[full])
         self.n_groups = np.bincount(doc_a[cut], minlength=len(texts))
-        group_a = np.cumsum(cut) - cut
-        stop = ends_a[cut]
-        group_b = np.searchsorted(stop, ends_b)
-        cut_b = stop[np.minimum(group_b, max(0, len(stop) - 1))] == ends_b if len(stop) else np.empty(0, bool)
-        self.sha256 = self._digests(texts, flat_a, flat_b, cut, cut_b, group_a, group_b)
+        # marks by byte offset: ends of A, ends of B, shared ends
+        size = int(ends_a[-1]) + 1 if len(ends_a) else 1
+        is_a, is_b, is_cut = np.zeros(size, bool), np.zeros(size, bool), np.zeros(size, bool)
+        is_a[ends_a] = is_b[ends_b] = is_cut[ends_a[cut]] = True
+        group_a, group_b = np.cumsum(cut) - cut, (np.cumsum(is_cut) - is_cut)[ends_b]
+        self.sha256 = self._digests(flat_a, flat_b, cut, is_cut[ends_b], group_a, group_b, a, b)
         # every stretch between two neighbouring ends, of either, is one link
-        bound = np.union1d(ends_a, ends_b)
-        link_a, link_b = np.searchsorted(ends_a, bound), np.searchsorted(ends_b, bound)
+        bound = np.flatnonzero(is_a | is_b)
+        link_a, link_b = (np.cumsum(is_a) - is_a)[bound], (np.cumsum(is_b) - is_b)[bound]
         self.code = flat_a[link_a] * len(b.data) + flat_b[link_b]
         self.n_links = np.bincount(doc_a[link_a], minlength=len(texts))
 
-    def _digests(self, texts, flat_a, flat_b, cut_a, cut_b, group_a, group_b) -> list[str]:
+    def _digests(self, flat_a, flat_b, cut_a, cut_b, group_a, group_b, a: Tokens, b: Tokens) -> list[str]:
         """sha256 of a1,a2|b1;a3|b2,b3 for each text."""
         if not len(flat_a):
-            return [""] * len(texts)
+            return [""] * len(self.n_a)
         # a group's A tokens stand before its B tokens
         b_before = np.concatenate(([0], np.cumsum(np.bincount(group_b))))
         a_until = np.cumsum(np.bincount(group_a))
-        place_a = np.arange(len(flat_a)) + b_before[group_a]
-        place_b = np.arange(len(flat_b)) + a_until[group_b]
-        size = int(max(flat_a.max(), flat_b.max())) + 1
+        words, size = _written(max(len(a.data), len(b.data)))
         sign = np.empty(len(flat_a) + len(flat_b), np.int64)
-        sign[place_a] = flat_a + size * np.where(cut_a, 1, 0)      # 1: | follows, 2: ; follows, 0: ,
-        sign[place_b] = flat_b + size * np.where(cut_b, 2, 0)
-        used, sign = np.unique(sign, return_inverse=True)
-        words = [b"%d%c" % (u % size, b",|;"[u // size]) for u in used.tolist()]
+        sign[np.arange(len(flat_a)) + b_before[group_a]] = flat_a + size * cut_a
+        sign[np.arange(len(flat_b)) + a_until[group_b]] = flat_b + 2 * size * cut_b
         tokens = list(map(words.__getitem__, sign.tolist()))
         out, at = [], 0
         for n in (self.n_a + self.n_b).tolist():
@@ -236,6 +247,12 @@ class Aligned:
         return out
 
 
+@functools.cache
+def _written(size: int) -> tuple[list[bytes], int]:
+    """Each id with what follows it: a comma, then | after a group's A, then ; after its B."""
+    return [b"%d%c" % (i, after) for after in b",|;" for i in range(size)], size
+
+
 _DOC = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string")
 _CHUNK = f"chunk long, docs array<struct<{_DOC.replace(' long', ': long').replace(' string', ': string')}>>, " \
          "codes binary, counts binary, links binary"
