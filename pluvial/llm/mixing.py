@@ -9,24 +9,29 @@ A source's documents lie in blocks by the leading bits of a hash.  A target of
 q whole sizes and a rest takes every block q times, and in one more pass the
 blocks in order while they fit into the rest; the block in which the rest runs
 out is refined bit by bit until it is small, and its documents are taken
-largest first as they fit.  So no document is taken more than ``limit`` times,
-and a source misses its target by less than one small document.
+largest first as they fit.  This is done for long documents first, those over
+``LONG`` times the source's mean: they get their share of the rest, and at least what
+the others cannot fill.  The others then fill what the long ones have left.  So no
+document is taken more than ``limit`` times, and a source misses its target by less
+than one document that is not long, unless its others are too few to fill the rest.
 
 The output shards split the exact numbers of blocks that each source gives: a
 tree halves the range of shards, each node draws how many of its blocks of
 every source go left from the multivariate hypergeometric distribution, and a
 node's random numbers follow from its range alone, so any task can walk to its
-shards again.  A leaf holds, for each source, a run of the source's permuted
+shards again.  Sources are split in groups of ``SOURCE_GROUP``, each by a tree of its
+own that deals its blocks evenly, and a large group's shards in ranges: a task has the
+sources of one group and the shards of one range.  A leaf holds, for each source, a run of the source's permuted
 blocks; runs of different shards are disjoint.  Rows are shuffled inside
 their shard by a hash.
 
-The driver holds one number per source (weights are given by source, so their
-list is short); documents, blocks and shards stay in Spark.
+Sources, documents, blocks and shards stay in Spark; the driver gets sums.
 
-Null texts have size 0, null is a source of its own.  Rows with equal doc_id,
+Null texts have size 0, null is a source of its own.  Very long texts are taken whole.  Rows with equal doc_id,
 source and text are one unit: all are taken equally often.  Empty documents and
 sources have size 0 and nothing is taken of them.  An empty table gives an
-empty result.
+empty result.  Other columns are carried along by ``mix``, whatever their names (but
+for a few that begin with two underscores), and not read.
 """
 
 from __future__ import annotations
@@ -50,6 +55,11 @@ SHARD_WORDS = 2_000_000
 #: A block in which a rest runs out is refined while it has more documents.
 REST_UNITS = 2000
 _REFINE_BITS = 8
+#: A document is long in its source if it is longer than this many times the mean.
+LONG = 8
+#: Sources that one splitting tree deals, and blocks of a group for each range of shards.
+#: The draws take at most 10^9 blocks: a source has at most (limit + 1) 2^20.
+SOURCE_GROUP, RANGE_BLOCKS = 256, 4096
 
 
 def sizes(docs: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
@@ -129,20 +139,19 @@ def _fit_rest(key, pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf.loc[taken, ["sid", "key", "size"]]
 
 
-def draws(sized: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """What the mix takes: units (sid, key, size, block, copies) and blocks
-    (sid, passes, blocks in the last pass)."""
-    units, _ = materialize(
-        sized.join(sources.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
-        .groupBy("sid", "key", "size", "bits", "passes")
-        .agg(F.sum("size").alias("words")).withColumn("block", _lead("bits")), "mix-units")
-    rest = sources.where("rest > 0").select(F.col("sid").alias("rid"), F.col("rest").alias("room"))
+def _last_pass(units: DataFrame, rest: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What one more pass over the units of some sources takes.
+
+    units: (sid, key, size, words, bits, block); rest: (rid, room), room > 0.
+    Returns (sid, key, size) of the units taken, and (rid, last): the last block
+    that any of them lies in, the first being 0.
+    """
+    own = units.join(rest.select(F.col("rid").alias("own")), F.col("sid") == F.col("own"), "left_semi")
     edge, _ = materialize(_run_out(
-        units.groupBy("sid", F.col("block").alias("lead")).agg(F.sum("words").alias("words")), rest), "mix-edge")
-    last = edge.select("rid", F.col("edge").alias("last_block"))
+        own.groupBy("sid", F.col("block").alias("lead")).agg(F.sum("words").alias("words")), rest), "mix-edge")
     near, extra = edge, 0
     while True:
-        inside = units.join(near, (F.col("sid") == F.col("rid")) & (_lead(f"bits + {extra}") == F.col("edge")))
+        inside = own.join(near, (F.col("sid") == F.col("rid")) & (_lead(f"bits + {extra}") == F.col("edge")))
         most = inside.groupBy("sid").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
         if most <= REST_UNITS or extra + _REFINE_BITS + MAX_BLOCK_BITS > 60:
             break
@@ -152,63 +161,98 @@ def draws(sized: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
         near, _ = materialize(_run_out(finer, near.select("rid", "room")), "mix-finer")
         extra += _REFINE_BITS
     fitted = inside.groupBy("sid").applyInPandas(_fit_rest, "sid int, key long, size long")
-    fitted = fitted.select(F.col("sid").alias("fid"), F.col("key").alias("fkey"), F.col("size").alias("fsize"))
-    rests = rest.join(last, "rid", "left").join(
-        near.select(F.col("rid").alias("nid"), F.col("edge").alias("cut")), F.col("rid") == F.col("nid"), "left")
-    rests, _ = materialize(rests.drop("nid", "room"), "mix-rests")
-    taken = (
-        units.join(rests, F.col("sid") == F.col("rid"), "left")
-        .join(fitted, (F.col("sid") == F.col("fid")) & (F.col("key") == F.col("fkey"))
-              & (F.col("size") == F.col("fsize")), "left")
-        # a rest that takes everything has no edge
-        .withColumn("again", F.col("rid").isNotNull() & (
-            F.col("cut").isNull() | (_lead(f"bits + {extra}") < F.col("cut")) | F.col("fid").isNotNull()))
-        .select("sid", "key", "size", "block", (F.col("passes") + F.col("again").cast("long")).alias("copies")))
-    blocks = sources.join(rests, F.col("sid") == F.col("rid"), "left").select(
-        "sid", "bits", F.expr("""passes * shiftleft(1L, bits) + CASE WHEN rid IS NULL THEN 0
-            WHEN last_block IS NULL THEN shiftleft(1L, bits) ELSE last_block + 1 END""").alias("blocks"))
+    cut = near.select(F.col("rid").alias("nid"), F.col("edge").alias("cut"))
+    before = (own.join(cut, F.col("sid") == F.col("nid"), "left")
+              # a rest that takes everything has no edge
+              .where(F.col("cut").isNull() | (_lead(f"bits + {extra}") < F.col("cut"))).select("sid", "key", "size"))
+    taken, _ = materialize(before.unionByName(fitted), "mix-rest")
+    bits = units.select("sid", "key", "size", "block")
+    last = (taken.join(bits, ["sid", "key", "size"]).groupBy(F.col("sid").alias("rid"))
+            .agg(F.max("block").alias("last")))
+    return taken, last
+
+
+def draws(sized: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What the mix takes: units (sid, key, size, block, copies) and blocks
+    (sid, bits, number of blocks drawn)."""
+    mean = sized.groupBy("source").agg(F.avg("size").alias("mean")).withColumnRenamed("source", "of_mean")
+    known = sources.join(mean, F.col("source").eqNullSafe(F.col("of_mean"))).drop("of_mean")
+    units, _ = materialize(
+        sized.join(known.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
+        .groupBy("sid", "key", "size", "bits", "passes", "mean")
+        .agg(F.sum("size").alias("words")).withColumn("block", _lead("bits"))
+        .withColumn("long", F.col("words") > LONG * F.col("mean")).drop("mean"), "mix-units")
+    by_class = units.groupBy("sid").agg(
+        F.sum(F.when(F.col("long"), F.col("words")).otherwise(0)).alias("long_words"), F.sum("words").alias("all_words"))
+    rooms, _ = materialize(
+        sources.where("rest > 0").join(by_class, "sid").select(
+            F.col("sid").alias("rid"), "rest",
+            # the long documents' share, or what the others cannot fill
+            F.greatest(F.col("rest") * F.col("long_words") / F.col("all_words"),
+                       F.col("rest") - (F.col("all_words") - F.col("long_words"))).alias("long_room")), "mix-rooms")
+    long_taken, long_last = _last_pass(
+        units.where("long"), rooms.where("long_room > 0").select("rid", F.col("long_room").alias("room")))
+    filled = long_taken.join(units.select("sid", "key", "size", "words"), ["sid", "key", "size"]) \
+        .groupBy("sid").agg(F.sum("words").alias("filled"))
+    small_rooms = rooms.join(filled, F.col("rid") == F.col("sid"), "left").select(
+        "rid", (F.col("rest") - F.coalesce("filled", F.lit(0))).alias("room")).where("room > 0")
+    small_rooms, _ = materialize(small_rooms, "mix-small-rooms")
+    small_taken, small_last = _last_pass(units.where(~F.col("long")), small_rooms)
+    again = long_taken.unionByName(small_taken).withColumn("again", F.lit(1))
+    taken = units.join(again, ["sid", "key", "size"], "left").select(
+        "sid", "key", "size", "block", (F.col("passes") + F.coalesce("again", F.lit(0))).alias("copies"))
+    last = long_last.unionByName(small_last).groupBy("rid").agg(F.max("last").alias("last"))
+    blocks = sources.join(last, F.col("sid") == F.col("rid"), "left").select(
+        "sid", "bits", F.expr("passes * shiftleft(1L, bits) + coalesce(last + 1, 0)").alias("blocks"))
     return taken, blocks
 
 
-def split(counts: np.ndarray, lo: int, hi: int, seed: int = SEED) -> np.ndarray:
+def split(counts: np.ndarray, lo: int, hi: int, seed: list[int]) -> np.ndarray:
     """Blocks of every source that the left half of shards [lo, hi) gets."""
     mid = (lo + hi) // 2
-    rng = np.random.default_rng([seed, lo, hi])
+    rng = np.random.default_rng([*seed, lo, hi])
     left = int(counts.sum()) * (mid - lo) // (hi - lo)
     return rng.multivariate_hypergeometric(counts, left, method="marginals")
 
 
-def leaves(counts: np.ndarray, shards: int, wanted: list[int], seed: int = SEED
+def leaves(counts: np.ndarray, shards: int, first: int, stop: int, seed: list[int]
            ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(shard, first block, number of blocks) per source of the wanted shards."""
-    wanted_set = sorted(wanted)
-
-    def walk(lo, hi, start, have, ask):
-        if not ask:
-            return
+    """(shard, first block, number of blocks) per source of shards first .. stop - 1
+    that get any block."""
+    todo = [(0, shards, np.zeros_like(counts), counts)]
+    while todo:
+        lo, hi, start, have = todo.pop()
+        if hi <= first or lo >= stop or not have.any():
+            continue
         if hi - lo == 1:
             yield lo, start, have
-            return
+            continue
         mid, left = (lo + hi) // 2, split(have, lo, hi, seed)
-        yield from walk(lo, mid, start, left, [s for s in ask if s < mid])
-        yield from walk(mid, hi, start + left, have - left, [s for s in ask if s >= mid])
+        todo += [(mid, hi, start + left, have - left), (lo, mid, start, left)]
 
-    yield from walk(0, shards, np.zeros_like(counts), counts, wanted_set)
 
+def block_shards(blocks: DataFrame, shards: int) -> DataFrame:
+    """(bid, nth, shard): where the nth block drawn of each source goes.
 
-def block_shards(spark, blocks: DataFrame, shards: int) -> DataFrame:
-    """(bid, nth, shard): where the nth block drawn of each source goes."""
-    rows = blocks.select("sid", "blocks").orderBy("sid").collect()   # one number per source
-    counts = np.array([r["blocks"] for r in rows], dtype=np.int64)
-    ids = np.array([r["sid"] for r in rows], dtype=np.int32)
-
-    def runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            for shard, start, n in leaves(counts, shards, pdf["id"].tolist()):
-                has = n > 0
-                yield pd.DataFrame({"bid": ids[has], "start": start[has], "n": n[has], "shard": shard})
-
-    of_rank = (spark.range(shards).mapInPandas(runs, "bid int, start long, n long, shard long")
+    A group's rows go to a task for each of its ranges of shards: as many
+    ranges as its number of blocks asks for.
+    """
+    drawn = blocks.where("blocks > 0").withColumn("group", F.expr(f"sid div {SOURCE_GROUP}"))
+    ranges = F.least(F.lit(shards).cast("long"), F.ceil(F.col("group_blocks") / RANGE_BLOCKS))
+    size = drawn.groupBy("group").agg(F.sum("blocks").alias("group_blocks")).withColumn("ranges", ranges)
+    met = drawn.join(size, "group").withColumn("range", F.explode(F.expr("sequence(0L, ranges - 1)")))
+
+    def runs(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("sid")
+        ids, counts, n = pdf["sid"].to_numpy(np.int32), pdf["blocks"].to_numpy(np.int64), int(pdf["ranges"].iloc[0])
+        lo, hi = int(key[1]) * shards // n, (int(key[1]) + 1) * shards // n
+        out = [(ids[has], start[has], taken[has], np.full(int(has.sum()), shard))
+               for shard, start, taken in leaves(counts, shards, lo, hi, [SEED, int(key[0])])
+               for has in (taken > 0,)]
+        columns = [np.concatenate(c) for c in zip(*out)] if out else [[], [], [], []]
+        return pd.DataFrame(dict(zip(("bid", "start", "n", "shard"), columns)))
+
+    of_rank = (met.groupBy("group", "range").applyInPandas(runs, "bid int, start long, n long, shard long")
                .select("bid", F.explode(F.expr("sequence(start, start + n - 1)")).alias("rank"), "shard"))
     # permute each source's blocks; at most a few million per source
     order = Window.partitionBy("sid").orderBy(F.xxhash64(F.lit(SEED + 1), "sid", "nth"), "nth")
@@ -229,7 +273,7 @@ def placements(sized: DataFrame, sources: DataFrame, shard_words: int = SHARD_WO
     words = sources.agg(F.sum("target")).first()[0] or 0.0
     n_blocks = blocks.agg(F.sum("blocks")).first()[0] or 0
     shards = max(1, min(int(words // shard_words) + 1, int(n_blocks)))
-    to, _ = materialize(block_shards(sized.sparkSession, blocks, shards), "mix-shards")
+    to, _ = materialize(block_shards(blocks, shards), "mix-shards")
     bits = blocks.select(F.col("sid").alias("b_sid"), "bits")
     return (taken.join(bits, F.col("sid") == F.col("b_sid"))
             .withColumn("copy", F.explode(F.expr("sequence(0L, copies - 1)")))

@@ -7,20 +7,31 @@ holds share most n-grams, and so most of their vector, with the word meant.
 
 A text's margin is the largest over all its passages of ``PASSAGE`` consecutive
 words (every position, whole text; a shorter text is one passage): a single
-insult in a long text must not be averaged away.  Labels are given for whole
-texts, so the passages to learn from are chosen first, by the log odds of their
-n-grams: the highest of a toxic text as toxic, passages of clean texts as clean.
+insult in a long text must not be averaged away.  A word that repeats the one before
+it counts once.  Labels are given for whole texts, so the passages to learn from are
+chosen first, by the log odds of their n-grams: of a toxic text its highest ones as
+toxic, by rank over the whole text; of a clean text the highest, and a share of the
+others by hash, as clean.
+
+The fit is bounded by parameters: ``SAMPLE_PER_CLASS`` texts of each class,
+``TOXIC_PASSAGES`` passages of a toxic text, ``CLEAN_PASSAGES`` clean ones in all.
+Texts stay on the executors, which count the n-grams, choose the passages and score
+the calibration texts; the driver gets a count for each bucket of n-grams,
+the chosen passages as bucket weights, and margins.
 
 At scoring time the model is linear in the n-gram vectors, so a word folds to
 one number and a passage to a running mean.
 
 Null and empty texts are one passage without words: the margin is the
-softmax's offset.  Rows are scored one by one, so repeated rows get equal
-scores, and an empty table gives an empty result.
+softmax's offset.  Very long texts are read whole, in parts; of passages with equal means
+the first counts.  Rows are scored one by one, so repeated rows get equal
+scores, and an empty table gives an empty result.  Only doc_id and text are
+read; other columns, whatever their names, are not.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,15 +41,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pluvial.llm.calibration import fit_logistic, sigmoid
-from pluvial.llm.common import held_out, labelled_sample, plain_documents, table
+from pluvial.llm.common import (discard, hash_fraction, held_out, labelled_sample, materialize,
+                                plain_documents, table)
 from pluvial.llm.ngrams import Words, chunks
 
 BUCKETS = 1 << 20
 ORDERS = (3, 4, 5)
 DIM = 10
 PASSAGE = 8
-#: Training bounds: about this many texts of each class, and this many clean passages a round.
+#: Training bounds: about this many texts of each class, passages of a toxic text,
+#: and clean passages beside the highest of each clean text.
 SAMPLE_PER_CLASS = 1500
+TOXIC_PASSAGES = 8
 CLEAN_PASSAGES = 20_000
 BATCH, LEAST_PASSAGES, SMOOTHING = 128, 200_000, 2.0
 THRESHOLD = 0.3
@@ -70,9 +84,10 @@ def _unrepeated(whole: np.ndarray) -> np.ndarray:
     return first
 
 
-def word_values(text: str, bucket: np.ndarray) -> np.ndarray:
-    """Mean of its n-grams' numbers for each word of a text."""
-    values, wholes = [], []
+def read_words(text: str, bucket: np.ndarray, keep_words: bool = False) -> tuple[list[str], np.ndarray]:
+    """(words, mean of its n-grams' numbers for each) of a text, repeats left out;
+    without ``keep_words`` the numbers only."""
+    kept, values, wholes = [], [], []
     for part in chunks(text):
         words = Words(part)
         if not len(words.start):
@@ -83,108 +98,106 @@ def word_values(text: str, bucket: np.ndarray) -> np.ndarray:
             n[place] += 1
         values.append(np.add.reduceat(total, words.start) / np.add.reduceat(n, words.start))
         wholes.append(b)
+        if keep_words:
+            kept += part.split()
     if not values:
-        return np.empty(0)
-    return np.concatenate(values)[_unrepeated(np.concatenate(wholes))]
+        return [], np.empty(0)
+    first = _unrepeated(np.concatenate(wholes))
+    return [kept[i] for i in np.flatnonzero(first).tolist()] if keep_words else [], np.concatenate(values)[first]
+
+
+def word_values(text: str, bucket: np.ndarray) -> np.ndarray:
+    """Mean of its n-grams' numbers for each word of a text."""
+    return read_words(text, bucket)[1]
 
 
 def margin(text: str, model: ToxicityModel) -> float:
     return float(passage_means(word_values(text, model.bucket)).max()) + model.offset
 
 
-class _Sample:
-    """The sampled texts as passages over a table of distinct words."""
-
-    def __init__(self, texts: list[str], label: np.ndarray) -> None:
-        index: dict[str, int] = {}
-        self.docs = []
-        for text in texts:
-            ids = np.array([index.setdefault(w, len(index)) for w in text.split()], np.int64)
-            self.docs.append(ids)
-        words = Words(" ".join(index))
-        found = list(words.grams(ORDERS, BUCKETS))
-        whole = found[-1][0] if index else np.empty(0, np.int64)
-        self.docs = [ids[_unrepeated(whole[ids])] for ids in self.docs]
-        buckets = np.concatenate([b for b, _ in found])
-        of = np.concatenate([words.word[p] for _, p in found])
-        self.gram = np.append(buckets[np.argsort(of, kind="stable")], 0)
-        self.gram_n = np.bincount(of, minlength=1)
-        self.gram_at = np.cumsum(self.gram_n) - self.gram_n
-        self.label = label
-
-    def word_values(self, bucket: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(bucket[self.gram], self.gram_at) / np.maximum(self.gram_n, 1)
-
-    def grams_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(buckets, their weight, position of their word) of a run of words."""
-        n = self.gram_n[words]
-        at = np.repeat(self.gram_at[words] - np.concatenate(([0], np.cumsum(n)[:-1])), n)
-        return self.gram[at + np.arange(n.sum())], np.repeat(1.0 / n, n), np.repeat(np.arange(len(words)), n)
-
-
-def _first_values(sample: _Sample) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of all words to choose the first passages by, for texts of class
-    0 and 1: mean log odds of their n-grams, the text itself left out."""
-    held = np.zeros((2, BUCKETS))
-    for words, y in zip(sample.docs, sample.label):
-        if len(words):
-            held[y, np.unique(sample.grams_of(np.unique(words))[0])] += 1
-    size = np.bincount(sample.label, minlength=2) + 2 * SMOOTHING
+def held_buckets(text: str) -> np.ndarray:
+    """The buckets of all n-grams of a text, each once."""
+    found = np.zeros(BUCKETS, bool)
+    for part in chunks(text):
+        for b, _ in Words(part).grams(ORDERS, BUCKETS):
+            found[b] = True
+    return np.flatnonzero(found)
+
+
+def first_odds(held: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of all n-grams to choose the first passages by, for texts of class 0
+    and 1: log odds of the texts of each class that hold them, the text itself left out.
+
+    held: (2, BUCKETS) texts of each class that hold each n-gram; texts: of each class.
+    """
+    size = texts + 2 * SMOOTHING
 
     def odds(out0: int, out1: int) -> np.ndarray:
         counts = np.maximum(held - [[out0], [out1]], 0) + SMOOTHING
-        return sample.word_values(np.log(counts[1] / size[1]) - np.log(counts[0] / size[0]))
+        return np.log(counts[1] / size[1]) - np.log(counts[0] / size[0])
 
     return odds(1, 0), odds(0, 1)
 
 
-def _passages(sample: _Sample, values, rng) -> list[tuple[np.ndarray, int]]:
-    """Passages to learn from, (word numbers, class): the highest of toxic
-    texts, the highest and a bounded sample of the others of clean texts.
+def weights(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, their weights) of a passage: the mean over words of the means over n-grams."""
+    found = Words(" ".join(words))
+    grams = list(found.grams(ORDERS, BUCKETS))
+    buckets, of = np.concatenate([b for b, _ in grams]), np.concatenate([found.word[p] for _, p in grams])
+    share = 1.0 / np.bincount(of, minlength=len(words))[of] / len(words)
+    used, at = np.unique(buckets, return_inverse=True)
+    return used, np.bincount(at, share)
+
+
+def starts_of(means: np.ndarray, y: int, key: int, share: float) -> list[int]:
+    """Where the passages to learn from begin, by the means of all passages.
 
-    values: per text, numbers of all words that the text has no part in.
+    Of a toxic text (y = 1) up to TOXIC_PASSAGES: the highest, then others near it
+    in height, by rank, that do not overlap one by more than half.  Of a clean text
+    the highest, and of every half-overlapping one a ``share``, by a hash of ``key``.
     """
-    out, clean = [], []
-    for words, y, value in zip(sample.docs, sample.label, values):
-        if not len(words):
-            continue
-        means = passage_means(value[words])
-        best = int(means.argmax())
-        if y == 1:
-            high = np.flatnonzero(means >= max(means[best] * 0.7, 0.0))[::PASSAGE // 2]
-            starts = np.unique(np.append(high[:8], best))
-            out.extend((words[s:s + PASSAGE], 1) for s in starts)
-        else:
-            out.append((words[best:best + PASSAGE], 0))
-            clean.extend((words[s:s + PASSAGE], 0) for s in
-                         range(0, max(1, len(words) - PASSAGE + 1), PASSAGE // 2))
-    if len(clean) > CLEAN_PASSAGES:
-        clean = [clean[i] for i in rng.choice(len(clean), CLEAN_PASSAGES, replace=False)]
-    return out + clean
-
-
-def _learn(sample: _Sample, passages: list[tuple[np.ndarray, int]], rng) -> tuple[np.ndarray, float]:
+    best = int(means.argmax())
+    if y == 1:
+        high = np.flatnonzero(means >= max(means[best] * 0.7, 0.0))
+        taken = [best]
+        for start in high[np.argsort(-means[high], kind="stable")].tolist():
+            if len(taken) == TOXIC_PASSAGES:
+                break
+            if all(abs(start - t) >= PASSAGE // 2 for t in taken):
+                taken.append(start)
+        return taken
+    others = np.arange(0, len(means), PASSAGE // 2)
+    mixed = (others.astype(np.uint64) + np.uint64(key)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return [best, *others[(mixed >> np.uint64(11)) / 2.0 ** 53 < share].tolist()]
+
+
+def passages(text: str, y: int, odds: np.ndarray, share: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Passages of a text to learn from, as bucket weights."""
+    words, values = read_words(text, odds, keep_words=True)
+    if not words:
+        return []
+    key = zlib.crc32(text.encode("utf-8", "replace"))
+    return [weights(words[s:s + PASSAGE]) for s in starts_of(passage_means(values), y, key, share)]
+
+
+def _learn(found: list[tuple[np.ndarray, np.ndarray]], y_all: np.ndarray, rng) -> tuple[np.ndarray, float]:
     """(margin of each bucket, offset): embeddings and softmax jointly, by Adagrad."""
     emb = rng.normal(0, 0.02, (BUCKETS, DIM)).astype(np.float32)
     soft = rng.normal(0, 0.1, (DIM, 2))
     bias = np.zeros(2)
     seen, seen_soft, seen_bias = np.full(BUCKETS, 1e-6, np.float32), 1e-6, 1e-6
-    y_all = np.array([y for _, y in passages])
     weight = 0.5 / np.maximum(np.bincount(y_all, minlength=2) / max(1, len(y_all)), 1e-9)
-    epochs = int(np.clip(LEAST_PASSAGES // max(1, len(passages)), 2, 12))
+    epochs = int(np.clip(LEAST_PASSAGES // max(1, len(found)), 2, 12))
     for _ in range(epochs):
-        order = rng.permutation(len(passages))
+        order = rng.permutation(len(found))
         for lo in range(0, len(order), BATCH):
-            part = [passages[i] for i in order[lo:lo + BATCH]]
-            n = np.array([len(w) for w, _ in part])
-            y = np.array([c for _, c in part])
-            buckets, share, at = sample.grams_of(np.concatenate([w for w, _ in part]))
-            passage = np.repeat(np.arange(len(part)), n)[at]
-            buckets, local = np.unique(buckets, return_inverse=True)
+            part = [found[i] for i in order[lo:lo + BATCH]]
+            y = y_all[order[lo:lo + BATCH]]
             # the averaging matrix, passages x buckets, as (row, col, mass)
-            key, back = np.unique(passage * len(buckets) + local, return_inverse=True)
-            mass = np.bincount(back, share / n[passage])
-            row, col = key // len(buckets), key % len(buckets)
+            row = np.repeat(np.arange(len(part)), [len(b) for b, _ in part])
+            mass = np.concatenate([m for _, m in part])
+            buckets, col = np.unique(np.concatenate([b for b, _ in part]), return_inverse=True)
             own = emb[buckets]
             hidden = np.stack([np.bincount(row, mass * own[col, d], len(part))
                                for d in range(DIM)], axis=1)
@@ -204,37 +217,122 @@ def _learn(sample: _Sample, passages: list[tuple[np.ndarray, int]], rng) -> tupl
     return bucket, float(bias[1] - bias[0])
 
 
+def _model(found: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: int = 0) -> ToxicityModel:
+    """The model of chosen passages, not calibrated yet; their order does not matter."""
+    order = sorted(range(len(found)), key=lambda i: (int(y[i]), found[i][0].tobytes(), found[i][1].tobytes()))
+    bucket, offset = _learn([found[i] for i in order], np.asarray(y, int)[order], np.random.default_rng(seed))
+    return ToxicityModel(bucket, offset, 1.0, 0.0)
+
+
+def _constant(label: int | None) -> ToxicityModel:
+    """Nothing to tell apart: a constant score."""
+    return ToxicityModel(np.zeros(BUCKETS), 2.0 if label == 1 else -4.0, 1.0, 0.0)
+
+
 def fit(texts: list[str], label: np.ndarray, rate: float | None = None, seed: int = 0) -> ToxicityModel:
-    """Model from texts; the logistic is fitted on texts kept from the training.
+    """Model from texts at hand; the logistic is fitted on texts kept from the training.
 
     rate: the share of toxic texts to calibrate for (the sample's, if not given).
     """
     label = np.asarray(label, int)
-    if len(set(label.tolist())) < 2:   # nothing to tell apart: a constant score
-        only = 2.0 if len(label) and label[0] == 1 else -4.0
-        return ToxicityModel(np.zeros(BUCKETS), only, 1.0, 0.0)
+    if len(set(label.tolist())) < 2:
+        return _constant(int(label[0]) if len(label) else None)
     kept = np.zeros(len(label), bool)
     for c in (0, 1):
         kept[np.flatnonzero(label == c)[::4]] = True
     train_on = ~kept if len(set(label[~kept].tolist())) == 2 else np.ones(len(label), bool)
-    rng = np.random.default_rng(seed)
-    sample = _Sample([t for t, k in zip(texts, train_on) if k], label[train_on])
-    first = _first_values(sample)
-    bucket, offset = _learn(sample, _passages(sample, [first[y] for y in sample.label], rng), rng)
-    model = ToxicityModel(bucket, offset, 1.0, 0.0)
+    own = [(t, int(y)) for t, y, k in zip(texts, label, train_on) if k]
+    held = np.zeros((2, BUCKETS))
+    for text, y in own:
+        held[y, held_buckets(text)] += 1
+    odds = first_odds(held, np.bincount(label[train_on], minlength=2))
+    clean = sum(len(t.split()) for t, y in own if y == 0) / (PASSAGE // 2)
+    share = min(1.0, CLEAN_PASSAGES / max(clean, 1))
+    found = [(p, y) for text, y in own for p in passages(text, y, odds[y], share)]
+    if len({y for _, y in found}) < 2:
+        return _constant(None)
+    model = _model([p for p, _ in found], np.array([y for _, y in found]), seed)
     model.slope, model.shift = fit_logistic(
         np.array([margin(t, model) for t, k in zip(texts, kept) if k]), label[kept],
         float(label.mean()) if rate is None else rate)
     return model
 
 
+#: Every fourth text of the sample, by hash, is kept from the training to calibrate on.
+KEPT_SHARE = 0.25
+
+
+def _held_counts(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
+    """(texts of each class that hold each n-gram, texts of each class, words of clean texts)."""
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = np.zeros((2, BUCKETS), np.int64)
+        texts, words = np.zeros(2, np.int64), 0
+        for pdf in frames:
+            for text, y in zip(pdf["text"], pdf["label"]):
+                held[y, held_buckets(text)] += 1
+                texts[y] += 1
+                words += len(text.split()) * (y == 0)
+        for y in (0, 1):
+            used = np.flatnonzero(held[y])
+            yield pd.DataFrame({"label": y, "bucket": np.append(used, -1), "n": np.append(held[y][used], texts[y]),
+                                "words": np.append(np.zeros(len(used), np.int64), words * (y == 0))})
+
+    got = (sample.mapInPandas(count, "label int, bucket long, n long, words long")
+           .groupBy("label", "bucket").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
+           .toArrow().to_pandas())                  # a row for each class and bucket at most
+    held, texts = np.zeros((2, BUCKETS)), np.zeros(2, np.int64)
+    for y in (0, 1):
+        own = got[(got["label"] == y) & (got["bucket"] >= 0)]
+        held[y, own["bucket"].to_numpy()] = own["n"]
+        texts[y] = got[(got["label"] == y) & (got["bucket"] < 0)]["n"].sum()
+    return held, texts, float(got["words"].sum())
+
+
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> ToxicityModel:
     """Fit on a bounded sample of labelled texts (see ``labelled_sample``)."""
-    rows = (labelled_sample(docs, labels, "toxic", per_class)
-            .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-            .limit(4 * per_class).toArrow())
+    spark = docs.sparkSession
     rate = labels.where(~held_out(F.col("doc_id"))).agg(F.avg(F.col("toxic").cast("double"))).first()[0]
-    return fit(rows.column("text").to_pylist(), np.array(rows.column("label").to_pylist(), int), rate)
+    rows, path = materialize(
+        labelled_sample(docs, labels, "toxic", per_class)
+        .withColumn("label", F.col("label").cast("int"))
+        .withColumn("kept", hash_fraction(F.col("doc_id"), F.lit(11)) < KEPT_SHARE), "toxicity-sample")
+    sizes = {(r["label"], r["kept"]): r["n"] for r in rows.groupBy("label", "kept").agg(F.count("*").alias("n")).collect()}
+    classes = {y for y, _ in sizes}
+    try:
+        if classes != {0, 1}:
+            return _constant(next(iter(classes), None))
+        # small samples: the fit takes every text, and calibrates on all
+        whole = any((y, k) not in sizes for y in (0, 1) for k in (False, True))
+        own = rows if whole else rows.where(~F.col("kept"))
+        held, texts, clean_words = _held_counts(own.select("text", "label"))
+        shared = spark.sparkContext.broadcast(first_odds(held, texts))
+        share = min(1.0, CLEAN_PASSAGES / max(clean_words / (PASSAGE // 2), 1))
+
+        def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in frames:
+                found = [(y, b.astype("<i4").tobytes(), m.astype("<f8").tobytes())
+                         for text, y in zip(pdf["text"], pdf["label"]) for b, m in passages(text, y, shared.value[y], share)]
+                yield pd.DataFrame(found, columns=["label", "buckets", "mass"])
+
+        got = own.select("text", "label").mapInPandas(choose, "label int, buckets binary, mass binary").toArrow()
+        y = got["label"].to_numpy()
+        if len(set(y.tolist())) < 2:
+            return _constant(None)
+        model = _model([(np.frombuffer(b, "<i4").astype(np.int64), np.frombuffer(m, "<f8"))
+                        for b, m in zip(got["buckets"].to_pylist(), got["mass"].to_pylist())], y)
+        model_shared = spark.sparkContext.broadcast(model)
+
+        @F.pandas_udf("double")
+        def margins(part: pd.Series) -> pd.Series:
+            return pd.Series([margin(t, model_shared.value) for t in part], dtype=float)
+
+        seen = (rows if whole else rows.where("kept")).select("label", margins("text").alias("margin")).toArrow()
+        order = np.argsort(seen["margin"].to_numpy(), kind="stable")
+        model.slope, model.shift = fit_logistic(
+            seen["margin"].to_numpy()[order], seen["label"].to_numpy()[order], rate)
+        return model
+    finally:
+        discard(spark, path)
 
 
 def classify(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
