@@ -49,6 +49,16 @@ def _numbered(name: str) -> Query:
     return run
 
 
+def fct_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as the mart job builds it: conditions are landed, hot visits found
+    in what landed, and every table is derived once."""
+    apply_conf(spark)
+    raw = RawLayer(spark, sf_dir)
+    return Warehouse(SimpleNamespace(
+        patients=raw.patients, encounters=raw.encounters, conditions=raw.landed().conditions,
+        weather=raw.weather)).balanced_fact()
+
+
 def _panel(wh: Warehouse) -> DataFrame:
     return K.region_panel(wh.stg_patients, wh.stg_encounters, wh.stg_conditions, wh.stg_weather)
 
@@ -87,6 +97,15 @@ def k_pain_visits_by_season_rain(spark, sf_dir):
     return K.pain_visits_by_season_and_rain(wh.fct_encounters, wh.dim_dates, wh.dim_weather)
 
 
+def k_visiting_patients_period(spark, sf_dir):
+    """F6 at scale: a period's distinct patients per region from daily sketches, beside
+    their exact number; ``close`` says whether the estimate is within its bound."""
+    wh = _wh(spark, sf_dir)
+    first, last = (F.lit(d).cast("date") for d in PERIOD)
+    daily = K.visit_sketches(wh.stg_encounters, wh.stg_patients)
+    return K.period_patients(daily, wh.stg_encounters, wh.stg_patients, first, last)
+
+
 def k_rainy_day_share(spark, sf_dir):
     wh = _wh(spark, sf_dir)
     return K.rainy_day_share(K.fact_weather_region_day(wh.stg_patients, wh.stg_weather))
@@ -128,6 +147,11 @@ def k_icd_validation(spark, sf_dir):
     return K.icd_validation(wh.stg_conditions, wh.stg_icd_codes)
 
 
+def k_icd_validation_mapped(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return K.icd_validation(wh.stg_conditions, wh.stg_icd_codes, D.code_mapping(Tables(spark, sf_dir)))
+
+
 def k_dim_region(spark, sf_dir):
     return K.dim_region(_wh(spark, sf_dir).stg_patients)
 
@@ -154,6 +178,35 @@ def weather_coverage_gaps(spark, sf_dir):
     return W.coverage_gaps(W.request_plan(raw.patients, raw.encounters), raw.weather)
 
 
+def weather_gaps_left_out(spark, sf_dir):
+    """B7 over observations of which one nation's never landed."""
+    apply_conf(spark)
+    raw = RawLayer(spark, sf_dir)
+    landed = W.clean_observations(D.gappy_observations(raw.tables))
+    return W.coverage_gaps(W.request_plan(raw.patients, raw.encounters), landed)
+
+
+def weather_clean_missing(spark, sf_dir):
+    """A12 + D4 + S19 over observations with NaN, NULL and all-missing days."""
+    apply_conf(spark)
+    return W.clean_observations(D.gappy_observations(Tables(spark, sf_dir)))
+
+
+def bundle_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 over spoiled bundles: rejected bundles by reason, and the resources of
+    the readable ones by type."""
+    from pluvial.session import scratch_path
+    from pluvial.sources import bundles as B
+
+    apply_conf(spark)
+    base = scratch_path(spark, "spoiled")
+    D.spoiled_bundles(Tables(spark, sf_dir)).write.text(base)
+    ing = B.Ingest(spark, base, layout="lines", glob="*.txt", scratch=scratch_path(spark, "spoiled-parsed"))
+    return (B.rejects(ing.rejected).select(F.lit("rejected").alias("outcome"), F.col("reason").alias("what"))
+            .unionByName(ing.good.select(F.lit("read").alias("outcome"), F.col("resource_type").alias("what")))
+            .groupBy("outcome", "what").agg(F.count(F.lit(1)).alias("n")))
+
+
 def _raw(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_conf(spark)
@@ -286,13 +339,14 @@ QUERIES: dict[str, Query] = {
     "dim_dates": _model("dim_dates"),
     "dim_conditions": _model("dim_conditions"),
     "dim_weather": _numbered("dim_weather"),
-    "fct_encounters": _model("fct_encounters"),
+    "fct_encounters": fct_encounters,
     # KPIs and gold tables
     "k_pain_patients_by_region": k_pain_patients_by_region,
     "k_rainy_pain_patients_by_region": k_rainy_pain_patients_by_region,
     "k_rainy_pain_patients_period": k_rainy_pain_patients_period,
     "k_rainy_pain_patients_marts": k_rainy_pain_patients_marts,
     "k_pain_visits_by_season_rain": k_pain_visits_by_season_rain,
+    "k_visiting_patients_period": k_visiting_patients_period,
     "k_rainy_day_share": k_rainy_day_share,
     "k_top_diagnoses_by_region": k_top_diagnoses_by_region,
     "k_fact_diagnosis_region": k_fact_diagnosis_region,
@@ -302,12 +356,15 @@ QUERIES: dict[str, Query] = {
     "k_weather_correlation": k_weather_correlation,
     "k_weather_spearman": k_weather_spearman,
     "k_icd_validation": k_icd_validation,
+    "k_icd_validation_mapped": k_icd_validation_mapped,
     "k_dim_region": k_dim_region,
     "k_dim_diagnosis": k_dim_diagnosis,
     "k_region_day_keys": k_region_day_keys,
     # sources
     "weather_request_plan": weather_request_plan,
     "weather_coverage_gaps": weather_coverage_gaps,
+    "weather_gaps_left_out": weather_gaps_left_out,
+    "weather_clean_missing": weather_clean_missing,
     # upserts
     "upsert_ignore": _raw(D.conditions_after_reload),
     "upsert_replace": _raw(D.icd_after_revision),
@@ -315,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "bundle_patients": _bundle("patients"),
     "bundle_encounters": _bundle("encounters"),
     "bundle_conditions": _bundle("conditions"),
+    "bundle_rejected": bundle_rejected,
     # streaming landing
     "stream_weather_landing": stream_weather_landing,
     "stream_bundle_conditions": stream_bundle_conditions,
@@ -323,6 +381,8 @@ QUERIES: dict[str, Query] = {
     "store_reload_compacted": store_reload_compacted,
     # code hierarchy
     "hierarchy_bfs": _raw(D.icd_from_hierarchy),
+    "hierarchy_documents": _raw(D.codes_by_walk),
+    "hierarchy_recursive": _raw(D.codes_by_recursion),
     # data quality
     "dq_not_null": _dq(DQ.dq_not_null),
     "dq_unique": _dq(DQ.dq_unique),

@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pluvial.operators.stats import student_t_p
 from pluvial.session import reliable_checkpoint
 
 
@@ -49,16 +50,17 @@ def average_ranks(df: DataFrame, value: str, group: Sequence[str] = (),
 
 def spearman(long: DataFrame, group: str, x: str, y: str, digits: int = 6) -> DataFrame:
     """Spearman's rho per group: Pearson correlation of average ranks over
-    the pairs where both values are present."""
+    the pairs where both values are present, with its two-sided p-value by Student's t."""
     # both rank passes and the final join read the pairs: write them once
     pairs = reliable_checkpoint(
         long.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(group, x, y))
     rx = average_ranks(pairs, x, [group]).withColumnRenamed("rank", "_rx")
     ry = average_ranks(pairs, y, [group]).withColumnRenamed("rank", "_ry")
     ranked = pairs.join(rx, [group, x]).join(ry, [group, y])
-    return ranked.groupBy(group).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.round(F.corr("_rx", "_ry"), digits).alias("spearman_rho"))
+    rho = ranked.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.corr("_rx", "_ry").alias("rho"))
+    p_value, log10_p = student_t_p(F.col("rho"), F.col("n"))
+    return rho.select(group, "n", F.round("rho", digits).alias("spearman_rho"),
+                      F.round(p_value, digits).alias("p_value"), F.round(log10_p, digits).alias("log10_p"))
 
 
 def number_rows(df: DataFrame, order: Sequence[str], column: str, after: int = 0,

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Terms of the two expansions of erfc; both have converged to double precision.
 SERIES_TERMS, FRACTION_TERMS = 60, 80
+#: Steps after which the series of a ratio of gamma functions has converged, too.
+GAMMA_STEPS = 30
 
 
 def safe_div(num: Column, den: Column) -> Column:
@@ -55,6 +57,54 @@ def chi2_sf_1df(chi2: Column) -> Column:
     return erfc_nonneg(F.sqrt(chi2 / F.lit(2.0)))
 
 
+def _gamma_ratio(a: Column) -> Column:
+    """gamma(a + 1/2) / gamma(a) for a > 0: by its series in 1/a, after ``GAMMA_STEPS``
+    steps upward that make a large."""
+    steps = F.aggregate(F.sequence(F.lit(0), F.lit(GAMMA_STEPS - 1)), F.lit(1.0),
+                        lambda acc, k: acc * (a + k) / (a + k + F.lit(0.5)))
+    u = F.lit(1.0) / (a + F.lit(float(GAMMA_STEPS)))
+    series = F.lit(1.0) - u / 8 + u * u / 128 + 5 * u * u * u / 1024 - 21 * u * u * u * u / 32768
+    return steps * series / F.sqrt(u)
+
+
+def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
+    """The continued fraction of the incomplete beta function, from the inside
+    out; for x < (a + 1) / (a + b + 2) terms grow with the root of the larger of a and b."""
+    terms = F.ceil(F.lit(100.0) + F.lit(12.0) * F.sqrt(F.greatest(a, b))).cast("int")
+
+    def term(k: Column) -> Column:
+        m = F.floor(k / F.lit(2)).cast("double")
+        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        return F.when(k % 2 == 0, even).otherwise(odd)
+
+    inner = F.aggregate(F.sequence(terms, F.lit(1), F.lit(-1)), F.lit(1.0), lambda acc, k: F.lit(1.0) + term(k) / acc)
+    return F.lit(1.0) / inner
+
+
+def student_t_p(r: Column, n: Column) -> tuple[Column, Column]:
+    """(two-sided p-value, its log10) of a correlation r of n pairs, by Student's t
+    with n - 2 degrees of freedom.
+
+    p is the regularised incomplete beta function I(1 - r^2; (n - 2) / 2, 1/2); the
+    log10 is right in its leading digits also where p is below all doubles.
+    NULL for n <= 2; a perfect correlation has p 0 and no log10.
+    """
+    a, half, y = (n - F.lit(2.0)) / F.lit(2.0), F.lit(0.5), r * r
+    x = F.lit(1.0) - y
+    # the factor before both fractions: x^a y^(1/2) / B(a, 1/2)
+    front = F.sqrt(y) * _gamma_ratio(a) / F.lit(math.sqrt(math.pi))
+    log_x = a * F.log1p(-y)
+    tail = front * _beta_fraction(a, half, x) / a
+    near = F.lit(1.0) - F.exp(log_x) * front * _beta_fraction(half, a, y) / half
+    small = x < (a + 1) / (a + F.lit(2.5))
+    usable = (n > 2) & r.isNotNull()
+    p = F.when(usable & (y >= 1), F.lit(0.0)).when(usable & small, F.exp(log_x) * tail).when(usable, near)
+    log10_p = (F.when(usable & (y < 1) & small, log_x / F.lit(math.log(10.0)) + F.log10(tail))
+               .when(usable & (y < 1), F.log10(near)))
+    return p, log10_p
+
+
 def two_by_two(cells: DataFrame, a: str, b: str, c: str, d: str, digits: int = 6) -> DataFrame:
     """Chi-square test of independence on one row of 2x2 counts.
 
@@ -79,9 +129,9 @@ def two_by_two(cells: DataFrame, a: str, b: str, c: str, d: str, digits: int = 6
 
 def pairwise_regression(long: DataFrame, group: str, x: str, y: str,
                         digits: int = 6) -> DataFrame:
-    """Per group: pair count, Pearson r, least-squares line of y on x, R^2 and
-    the t statistic of r (n - 2 degrees of freedom).  Pairs with a NULL on
-    either side are ignored, as the SQL aggregates do."""
+    """Per group: pair count, Pearson r, least-squares line of y on x, R^2, and
+    the t statistic of r (n - 2 degrees of freedom) with its two-sided p-value and
+    log10.  Pairs with a NULL on either side are ignored, as the SQL aggregates do."""
     X, Y = F.col(x), F.col(y)
     agg = long.groupBy(group).agg(
         F.regr_count(Y, X).alias("n"),
@@ -92,6 +142,7 @@ def pairwise_regression(long: DataFrame, group: str, x: str, y: str,
     )
     r = F.col("r")
     t = r * F.sqrt(safe_div(F.col("n") - F.lit(2.0), F.lit(1.0) - r * r))
+    p_value, log10_p = student_t_p(r, F.col("n"))
     return agg.select(
         group, "n",
         F.round(r, digits).alias("pearson_r"),
@@ -99,4 +150,6 @@ def pairwise_regression(long: DataFrame, group: str, x: str, y: str,
         F.round("intercept", digits).alias("intercept"),
         F.round("r2", digits).alias("r2"),
         F.round(F.when(F.col("n") > 2, t), digits).alias("t_stat"),
+        F.round(p_value, digits).alias("p_value"),
+        F.round(log10_p, digits).alias("log10_p"),
     )

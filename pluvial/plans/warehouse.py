@@ -90,6 +90,12 @@ class Warehouse:
     def fct_encounters(self) -> DataFrame:
         return marts.fct_encounters(self.int_encounters_weather, self.stg_conditions)
 
+    def balanced_fact(self) -> DataFrame:
+        """``fct_encounters`` with the conditions of hot visits spread over tasks; their
+        keys are looked for now, in one pass over the conditions' key columns."""
+        return marts.fct_encounters(self.int_encounters_weather, self.stg_conditions,
+                                    marts.hot_visits(self.stg_conditions))
+
     MARTS = ("dim_patients", "dim_dates", "dim_conditions", "dim_weather", "fct_encounters")
 
     def materialize(self, out_dir: str, partition_fact_by_month: bool = True) -> dict[str, str]:
@@ -104,7 +110,7 @@ class Warehouse:
 
         paths = {}
         for name in self.MARTS:
-            df = getattr(self, name)
+            df = self.balanced_fact() if name == "fct_encounters" else getattr(self, name)
             path = f"{out_dir.rstrip('/')}/{name}"
             writer = df
             if name == "fct_encounters" and partition_fact_by_month:

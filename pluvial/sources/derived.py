@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvial import schemas
@@ -304,6 +304,50 @@ def icd_after_revision(t: Tables) -> DataFrame:
     return upsert_replace(icd_codes(t), icd_revision_batch(t), ["code"], ["_revision"])
 
 
+# --- observations with gaps (A12, B7, S19) ----------------------------------------
+#: The nation whose series never lands; missing measures by day of the year.
+LEFT_OUT_NATION = 3
+MISSING_EVERY = {"tavg": 2, "prcp": 3, "pres": 5, "tmin": 7}
+
+
+def gappy_observations(t: Tables) -> DataFrame:
+    """Landed observations without one nation's, with measures missing: NaN on
+    days that its number in ``MISSING_EVERY`` divides, NULL in even years.  Every 30th
+    day has neither temperature nor rain nor pressure."""
+    obs = weather_observations(t).where(
+        F.col("lat") != F.expr(f"cast(40 + {LEFT_OUT_NATION} * 0.1 as double)"))
+    none = F.when(F.year("date") % 2 == 0, F.lit(None).cast("double")).otherwise(F.lit(float("nan")))
+    return obs.withColumns({m: F.when(F.dayofyear("date") % n == 0, none).otherwise(F.col(m))
+                            for m, n in MISSING_EVERY.items()})
+
+
+# --- bundles that cannot be read (A3) --------------------------------------------
+#: What is wrong with a customer's bundle, by custkey modulo this number.
+SPOILED_MOD = 13
+
+
+def spoiled_bundles(t: Tables) -> DataFrame:
+    """A bundle per customer (patient, visit, diagnosis) as a line; nine of
+    thirteen kinds are spoiled, each in a way that a parser trips over."""
+    key = F.col("c_custkey").cast("string")
+    kind = F.col("c_custkey") % SPOILED_MOD
+    subject = F.concat(F.lit('"subject":{"reference":"urn:uuid:p'), key, F.lit('"}'))
+    patient = F.when(kind == 1, F.lit('{"resourceType":"Patient","gender":"male"}')) \
+        .when(kind == 6, F.concat(F.lit('{"resourceType":"Patient","id":"p'), key, F.lit('","address":{"city":"x"}}'))) \
+        .otherwise(F.concat(F.lit('{"resourceType":"Patient","id":"p'), key, F.lit('","gender":"male"}')))
+    visit = F.concat(F.lit('{"resourceType":"Encounter",'),
+                     F.when(kind == 9, F.lit('"id":null,')).otherwise(F.concat(F.lit('"id":"v'), key, F.lit('",'))),
+                     F.when(kind == 7, F.lit('"period":"today",')).otherwise(F.lit('"period":{},')), subject, F.lit("}"))
+    diagnosis = F.concat(F.lit('{"resourceType":"Condition","id":"d'), key, F.lit('",'),
+                         F.when(kind == 8, F.lit('"subject":{"reference":12}')).otherwise(subject), F.lit("}"))
+    entry = F.concat_ws(",", *(F.concat(F.lit('{"resource":'), r, F.lit("}")) for r in (patient, visit, diagnosis)),
+                        F.when(kind == 4, F.lit('"a string"')), F.when(kind == 5, F.lit('{"resource":[]}')))
+    whole = F.concat(F.lit('{"resourceType":"Bundle","entry":'),
+                     F.when(kind == 3, F.lit("{}")).otherwise(F.concat(F.lit("["), entry, F.lit("]"))), F.lit("}"))
+    return t.customer.select("c_custkey").select(
+        F.when(kind == 2, F.substring(whole, 1, 60)).otherwise(whole).alias("value"))
+
+
 # --- code hierarchy (A15, A16) ------------------------------------------------
 # The root URL of the landed classification release, and the
 # node kinds derived from ``part``:
@@ -415,6 +459,65 @@ def icd_from_hierarchy(t: Tables) -> DataFrame:
     return flatten(t.spark, entities, hierarchy_links(t), HIERARCHY_ROOT)
 
 
+#: The landed classification whose documents list their children: node k, of a part
+#: key, has the children 10 k .. 10 k + 9, and lists the first child of k + 1 as well,
+#: if k + 1 has as many digits.  So shared children are found by two parents.
+NUMBERED_ROOT = "http://id.example.org/numbers/release/11/2024"
+
+
+def numbered_documents(t: Tables) -> DataFrame:
+    """Entity documents (url, doc) with ``child`` arrays; part keys are 1, 2, ... n."""
+    last = t.part.agg(F.max("p_partkey").alias("last"))
+
+    def url(k: Column) -> Column:
+        return F.concat(F.lit(f"{NUMBERED_ROOT}/N"), k.cast("string"))
+
+    def present(keys: Column) -> Column:
+        return F.transform(F.filter(keys, lambda k: (k >= 1) & (k <= F.col("last"))), url)
+
+    k = F.col("p_partkey")
+    after = F.when(F.length((k + 1).cast("string")) == F.length(k.cast("string")), F.array(k * 10 + 10))
+    own = F.concat(F.sequence(k * 10, k * 10 + 9), F.coalesce(after, F.array().cast("array<bigint>")))
+    nodes = t.part.select("p_partkey", "p_name", "p_type").join(last).select(
+        url(k).alias("url"),
+        F.to_json(F.struct(F.concat(F.lit("N"), k.cast("string")).alias("code"), _value(F.col("p_name")).alias("title"),
+                           _value(F.col("p_type")).alias("definition"), present(own).alias("child"))).alias("doc"))
+    root = last.select(
+        F.lit(NUMBERED_ROOT).alias("url"),
+        F.to_json(F.struct(_value(F.lit("Numbers")).alias("title"),
+                           present(F.sequence(F.lit(1).cast("bigint"), F.lit(9).cast("bigint"))).alias("child"))).alias("doc"))
+    return root.unionByName(nodes)
+
+
+def codes_by_walk(t: Tables) -> DataFrame:
+    """A15 + A16 over documents that list their children, by the frontier loop."""
+    from pluvial.sources.hierarchy import flatten, links_from_documents, parse_entities
+
+    docs = numbered_documents(t)
+    return flatten(t.spark, parse_entities(docs), links_from_documents(docs), NUMBERED_ROOT)
+
+
+def codes_by_recursion(t: Tables) -> DataFrame:
+    """The same codes by a recursive query."""
+    from pluvial.sources.hierarchy import flatten, links_from_documents, parse_entities, walk_recursive
+
+    docs = numbered_documents(t)
+    return flatten(t.spark, parse_entities(docs), links_from_documents(docs), NUMBERED_ROOT, walk_recursive)
+
+
+#: The mapping of clinical codes to classification codes that K7 takes (a choice of
+#: ours: the first thirty numbers of the clinical codes).
+MAPPED_CODES = 30
+
+
+def code_mapping(t: Tables) -> DataFrame:
+    """(from_code, to_code): clinical code 38341000 + k stands for A<k>, k below 30."""
+    k = F.expr("p_partkey % 50")
+    return t.part.select(k.alias("k")).where(F.col("k") < MAPPED_CODES).distinct().select(
+        F.expr("cast(38341000 + k as string)").alias("from_code"),
+        F.concat(F.lit("A"), F.lpad(F.col("k").cast("string"), 2, "0")).alias("to_code"))
+
+
 class Landed:
     """Raw tables written on first use, as attributes."""
 

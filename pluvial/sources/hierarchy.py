@@ -56,10 +56,6 @@ def parse_entities(docs: DataFrame, url_col: str = "url", doc_col: str = "doc")
     )
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    return reliable_checkpoint(df)
-
-
 # The visited set is a union of checkpointed levels; every few levels it is
 # checkpointed itself so that very deep hierarchies keep a short plan.
 VISITED_CHECKPOINT_EVERY = 8
@@ -74,7 +70,7 @@ def walk(spark: SparkSession, links: DataFrame, root_url: str) -> DataFrame:
     discovers nothing, which the visited set makes certain.
     """
     # the links are read once per level: materialize them once
-    edges = _checkpoint(links.select("parent_url", "child_url", "ordinal"))
+    edges = reliable_checkpoint(links.select("parent_url", "child_url", "ordinal"))
     ordinal_type = edges.schema["ordinal"].dataType
     visited = spark.range(1).select(
         F.lit(root_url).alias("url"), F.lit(None).cast("string").alias("parent_url"),
@@ -89,20 +85,51 @@ def walk(spark: SparkSession, links: DataFrame, root_url: str) -> DataFrame:
         first = Window.partitionBy("url").orderBy("path", "parent_url")
         new = (cand.withColumn("_rn", F.row_number().over(first))
                .where("_rn = 1").drop("_rn"))
-        new = _checkpoint(new)
+        new = reliable_checkpoint(new)
         if new.isEmpty():
             return visited
         visited = visited.unionByName(new)
         if level % VISITED_CHECKPOINT_EVERY == 0:
-            visited = _checkpoint(visited)
+            visited = reliable_checkpoint(visited)
         frontier = new
 
 
-def flatten(spark: SparkSession, entities: DataFrame, links: DataFrame, root_url: str) -> DataFrame:
+#: Levels that a recursive query may have.
+MAX_LEVELS = 1000
+
+
+def walk_recursive(spark: SparkSession, links: DataFrame, root_url: str) -> DataFrame:
+    """``walk`` as one recursive query, for trees and other acyclic links.
+
+    The recursion carries depth and path; a URL that several parents list is
+    reached once by each path, and the first discoverer in queue order is kept.  Work
+    grows with the number of paths, and a cycle would never end: the query fails
+    after ``MAX_LEVELS`` levels.  ``walk`` has neither limit.
+    """
+    ordinal = links.schema["ordinal"].dataType.simpleString()
+    key = "spark.sql.cteRecursionRowLimit"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "-1")
+    try:
+        reached = reliable_checkpoint(spark.sql(f"""
+            WITH RECURSIVE reached(url, parent_url, depth, path) MAX RECURSION LEVEL {MAX_LEVELS} AS (
+              SELECT :root AS url, CAST(NULL AS STRING) AS parent_url, 0 AS depth, CAST(array() AS ARRAY<{ordinal}>) AS path
+              UNION ALL
+              SELECT l.child_url, r.url, r.depth + 1, array_append(r.path, l.ordinal)
+              FROM reached r JOIN {{links}} l ON l.parent_url = r.url)
+            SELECT * FROM reached""", args={"root": root_url}, links=links))
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    first = Window.partitionBy("url").orderBy("depth", "path", "parent_url")
+    return reached.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
+
+
+def flatten(spark: SparkSession, entities: DataFrame, links: DataFrame, root_url: str,
+            how=walk) -> DataFrame:
     """The stored code table: every reached entity that has a code, with the
     parent code taken from its discoverer's URL (NULL when that segment has
-    no letter, e.g. a release year)."""
-    reached = walk(spark, links, root_url)
+    no letter, e.g. a release year).  how: ``walk`` or ``walk_recursive``."""
+    reached = how(spark, links, root_url)
     return (reached.join(entities, "url")
             .where(F.col("code") != "")   # missing and empty codes are not stored
             .select("code", "title", "description",

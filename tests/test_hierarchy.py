@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pluvial.sources import hierarchy as H
 
 ROOT = "http://h/icd/release/10/2019"
@@ -41,3 +43,30 @@ def test_year_segment_gives_null_parent(spark):
     docs = _docs(spark, nodes)
     r = H.flatten(spark, H.parse_entities(docs), H.links_from_documents(docs), ROOT).collect()
     assert [(x.code, x.parent_code, x.depth) for x in r] == [("X1", None, 1)]
+
+
+def test_recursive_query_agrees_with_the_walk(spark):
+    """Shared children at the same and at different depths, a node listed twice, no cycle."""
+    u = lambda s: f"{ROOT}/{s}"
+    nodes = {ROOT: {"child": [u("A"), u("B"), u("C")]},
+             u("A"): {"code": "A", "child": [u("X"), u("Y"), u("Y")]},
+             u("B"): {"code": "B", "child": [u("Y"), u("X"), u("Z")]},
+             u("C"): {"code": "C", "child": [u("Z"), u("W")]},
+             u("X"): {"code": "X", "child": [u("W")]},
+             u("Y"): {"code": "Y"}, u("Z"): {"code": "Z", "child": []}, u("W"): {"code": "W"}}
+    docs = _docs(spark, nodes)
+    links = H.links_from_documents(docs)
+    one, two = (sorted(map(tuple, walk(spark, links, ROOT).select("url", "parent_url", "depth").collect()), key=str)
+                for walk in (H.walk, H.walk_recursive))
+    assert one == two and len(one) == 8
+    found = {r.code: (r.parent_code, r.depth) for r in H.flatten(
+        spark, H.parse_entities(docs), links, ROOT, H.walk_recursive).collect()}
+    assert found["W"] == ("C", 2) and found["Z"] == ("B", 2) and found["Y"] == ("A", 2)
+
+
+def test_recursive_query_fails_on_a_cycle(spark, monkeypatch):
+    monkeypatch.setattr(H, "MAX_LEVELS", 20)
+    docs = _docs(spark, {ROOT: {"child": [f"{ROOT}/A"]}, f"{ROOT}/A": {"code": "A", "child": [ROOT]}})
+    with pytest.raises(Exception, match="RECURSION"):
+        H.walk_recursive(spark, H.links_from_documents(docs), ROOT)
+    assert H.walk(spark, H.links_from_documents(docs), ROOT).count() == 2

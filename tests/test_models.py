@@ -19,14 +19,12 @@ def test_fact_invariants(spark):
     assert no_cond.where(F.col("is_chronic").isNotNull()).count() == 0
 
 
-def test_weather_surrogate_key_is_unique_and_stable(spark):
-    wh = Warehouse.from_folder(spark, SF_SMALL)
-    w = wh.stg_weather
-    assert w.select("weather_id").distinct().count() == w.count()
-    a = {r.weather_id for r in w.select("weather_id").collect()}
-    b = {r.weather_id for r in Warehouse.from_folder(spark, SF_SMALL).stg_weather
-         .select("weather_id").collect()}
-    assert a == b
+def test_weather_surrogate_key_is_dense_and_stable(spark):
+    from pluvial.sources import derived as D
+    from pluvial.sources.tables import Tables
+    a, b = (sorted(map(tuple, D.numbered_weather(Tables(spark, SF_SMALL)).collect())) for _ in range(2))
+    assert a == b and [r[0] for r in a] == list(range(1, len(a) + 1))
+    assert [r[1:4] for r in a] == sorted(r[1:4] for r in a)
 
 
 def test_dim_dates_covers_visits(spark):
