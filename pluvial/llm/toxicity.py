@@ -258,7 +258,8 @@ def fit(texts: list[str], label: np.ndarray, rate: float | None = None, seed: in
     return model
 
 
-#: Every fourth text of the sample, by hash, is kept from the training to calibrate on.
+#: Every fourth text of the sample, by hash, is kept from the fit that scores are
+#: calibrated on; the final fit takes all texts.
 KEPT_SHARE = 0.25
 
 
@@ -288,6 +289,27 @@ def _held_counts(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
     return held, texts, float(got["words"].sum())
 
 
+def _model_of(rows: DataFrame) -> ToxicityModel | None:
+    """The model of all texts of ``rows`` (text, label), not calibrated; None if one
+    class has no passage."""
+    held, texts, clean_words = _held_counts(rows)
+    shared = rows.sparkSession.sparkContext.broadcast(first_odds(held, texts))
+    share = min(1.0, CLEAN_PASSAGES / max(clean_words / (PASSAGE // 2), 1))
+
+    def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            found = [(y, b.astype("<i4").tobytes(), m.astype("<f8").tobytes())
+                     for text, y in zip(pdf["text"], pdf["label"]) for b, m in passages(text, y, shared.value[y], share)]
+            yield pd.DataFrame(found, columns=["label", "buckets", "mass"])
+
+    got = rows.mapInPandas(choose, "label int, buckets binary, mass binary").toArrow()
+    y = got["label"].to_numpy()
+    if len(set(y.tolist())) < 2:
+        return None
+    return _model([(np.frombuffer(b, "<i4").astype(np.int64), np.frombuffer(m, "<f8"))
+                   for b, m in zip(got["buckets"].to_pylist(), got["mass"].to_pylist())], y)
+
+
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> ToxicityModel:
     """Fit on a bounded sample of labelled texts (see ``labelled_sample``)."""
     spark = docs.sparkSession
@@ -304,22 +326,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
         # small samples: the fit takes every text, and calibrates on all
         whole = any((y, k) not in sizes for y in (0, 1) for k in (False, True))
         own = rows if whole else rows.where(~F.col("kept"))
-        held, texts, clean_words = _held_counts(own.select("text", "label"))
-        shared = spark.sparkContext.broadcast(first_odds(held, texts))
-        share = min(1.0, CLEAN_PASSAGES / max(clean_words / (PASSAGE // 2), 1))
-
-        def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in frames:
-                found = [(y, b.astype("<i4").tobytes(), m.astype("<f8").tobytes())
-                         for text, y in zip(pdf["text"], pdf["label"]) for b, m in passages(text, y, shared.value[y], share)]
-                yield pd.DataFrame(found, columns=["label", "buckets", "mass"])
-
-        got = own.select("text", "label").mapInPandas(choose, "label int, buckets binary, mass binary").toArrow()
-        y = got["label"].to_numpy()
-        if len(set(y.tolist())) < 2:
+        model = _model_of(own.select("text", "label"))
+        if model is None:
             return _constant(None)
-        model = _model([(np.frombuffer(b, "<i4").astype(np.int64), np.frombuffer(m, "<f8"))
-                        for b, m in zip(got["buckets"].to_pylist(), got["mass"].to_pylist())], y)
         model_shared = spark.sparkContext.broadcast(model)
 
         @F.pandas_udf("double")
@@ -328,9 +337,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
 
         seen = (rows if whole else rows.where("kept")).select("label", margins("text").alias("margin")).toArrow()
         order = np.argsort(seen["margin"].to_numpy(), kind="stable")
-        model.slope, model.shift = fit_logistic(
-            seen["margin"].to_numpy()[order], seen["label"].to_numpy()[order], rate)
-        return model
+        slope, shift = fit_logistic(seen["margin"].to_numpy()[order], seen["label"].to_numpy()[order], rate)
+        final = model if whole else _model_of(rows.select("text", "label"))     # with the texts kept so far
+        final.slope, final.shift = slope, shift
+        return final
     finally:
         discard(spark, path)
 

@@ -645,6 +645,6 @@ def test_semdedup_sql(spark):
 
 
 def test_registered():
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     assert all(sum(q.startswith(n) for q in E.queries()) == 1 for n in names) and "pipeline" in E.queries()
     assert json.dumps(sorted(E.oracle_sql()))
