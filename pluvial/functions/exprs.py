@@ -47,8 +47,9 @@ def _c(col: Column | str) -> Column:
 
 # --- S1 / S13: rounding and casts ------------------------------------------
 def round_coord(col: Column | str) -> Column:
-    """ROUND(x::NUMERIC, 4): half away from zero, typed decimal(9,4)."""
-    return _c(col).cast(f"decimal({COORD_PRECISION},{COORD_SCALE})")
+    """ROUND(x::NUMERIC, 4): half away from zero, typed decimal(9,4); NULL for a number
+    that is no coordinate (100,000 or more), which the range check reports."""
+    return _c(col).try_cast(f"decimal({COORD_PRECISION},{COORD_SCALE})")
 
 
 def coord_key(col: Column | str) -> Column:

@@ -94,3 +94,8 @@ def test_pain_filter(spark):
                                 ("Hypertension",), (None,)], "d string")
     got = [r.p for r in df.select(X.is_pain_diagnosis("d").alias("p")).collect()]
     assert got == [True, True, True, True, False, None]
+
+
+def test_absurd_coordinates_do_not_fail_a_load(spark):
+    df = spark.createDataFrame([(1e6,), (12.34565,), (float("nan"),), (None,)], "x double")
+    assert [r[0] for r in df.select(X.coord_key("x")).collect()] == [None, 12.3457, None, None]
