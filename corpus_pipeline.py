@@ -8,6 +8,11 @@ and read again, and calls one operator of ``pluvial.llm``:
 3. secrets   secrets are taken out of the texts
 4. mixing    documents are taken as often as their source's target asks for
 5. packing   the mixed documents are cut into pieces and put into sequences
+
+Null texts count as empty, and the quality classifier decides on them as on all others;
+rows without doc_id, repeated rows and very long texts go through like others.  Further
+columns of ``documents`` are carried along up to the mixing, whatever their names.  An
+empty table gives an empty result.
 """
 
 from __future__ import annotations

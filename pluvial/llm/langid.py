@@ -19,7 +19,8 @@ languages are those of the labels.  Null and empty texts have an even
 likelihood, so declaration and host decide; without these the commonest
 language wins.  Ties go to the first language by code point.  Rows are judged one by
 one, so repeated rows get equal results; an empty table gives an empty result,
-and without any labelled text the language is null.
+and without any labelled text the language is null.  Very long texts and pages are
+read whole, in parts.  Other columns than the named ones are not read.
 """
 
 from __future__ import annotations

@@ -15,9 +15,10 @@ whatever its size; one task packs these by first fit decreasing.  Positions
 inside a bin are prefix sums of its at most LAST_CLASS pieces.
 
 Pieces are written to the shared folder before bins are numbered, so numbers do
-not depend on reruns.  Null and empty texts are the end id alone.  Rows are
-packed one by one, so repeated rows are packed as often as they come; an empty
-table gives an empty result.
+not depend on reruns.  Null and empty texts are the end id alone.  Very long texts
+are encoded whole and cut.  Rows are packed one by one, so repeated rows are packed as
+often as they come; an empty table gives an empty result.  Only doc_id and text are
+read; other columns, whatever their names, are not.
 """
 
 from __future__ import annotations

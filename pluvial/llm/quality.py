@@ -11,7 +11,8 @@ ones.  N-grams are hashed to a fixed number of buckets.
 
 Null and empty texts have no n-grams and score by the offset alone.  Rows are
 scored one by one, so repeated rows get equal scores, and an empty table gives
-an empty result.
+an empty result.  Very long texts are read whole.  Only doc_id and text are read;
+``keep_good`` carries all columns along, whatever their names.
 """
 
 from __future__ import annotations

@@ -22,7 +22,8 @@ Equal vectors are one node with a number of rows.  Vectors that are null, zero
 or hold null or non-finite components link with nothing: they are groups of
 their own.  A row without vec_id takes no part: no links, no component, not
 kept.  Vectors of different length are not linked.  An empty table gives an
-empty result.
+empty result.  Only vec_id and embedding are read; other columns, whatever their
+names, are not.
 """
 
 from __future__ import annotations

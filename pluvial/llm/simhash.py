@@ -21,7 +21,8 @@ joined by connected components.  No link is lost.
 Null and empty texts have fingerprint zero, which links like any other.  A row
 without doc_id gets the component of its fingerprint (null if no row of the
 component has one).  Repeated rows are rows of their own with equal results;
-an empty table gives an empty result.
+an empty table gives an empty result.  Very long texts are read whole.  Only doc_id
+and text are read; ``keep_first`` carries all columns along, whatever their names.
 """
 
 from __future__ import annotations
