@@ -8,7 +8,6 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-import __spark_entry__ as E
 import corpus_pipeline
 from conftest import SF_SMALL
 from pluvial.llm import langid, mixing, ngrams, quality, toxicity
@@ -226,7 +225,6 @@ def test_many_sources_are_dealt_in_groups(spark, monkeypatch):
 # --- pipeline ----------------------------------------------------------------
 
 def test_pipeline_on_odd_rows_and_an_empty_table(spark, tmp_dir):
-    import shutil
     extra = ", score double, class int, node long"
     text = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").limit(40).collect()
     rows = [(i, r.text, "en", f"s{i % 3}", len(r.text or "")) for i, r in enumerate(text)]
