@@ -22,6 +22,14 @@ def safe_div(num: Column, den: Column) -> Column:
     return F.when(den != 0, num / den)
 
 
+def pearson(n: Column, sxx: Column, syy: Column, sxy: Column) -> Column:
+    """Pearson's r from sums of squares and products (``regr_sxx`` and so on): NULL
+    without pairs, NaN where a side is constant, as the SQL aggregate has it
+    (``corr`` raises there in ANSI mode)."""
+    spread = F.sqrt(sxx * syy)
+    return F.when(spread != 0, sxy / spread).when(n > 0, F.lit(float("nan")))
+
+
 def _erf_small(x: Column) -> Column:
     """erf(x) for 0 <= x < 2 by its series of positive terms."""
     first = F.struct(x.alias("term"), x.alias("total"))
@@ -88,7 +96,7 @@ def student_t_p(r: Column, n: Column) -> tuple[Column, Column]:
 
     p is the regularised incomplete beta function I(1 - r^2; (n - 2) / 2, 1/2); the
     log10 is right in its leading digits also where p is below all doubles.
-    NULL for n <= 2; a perfect correlation has p 0 and no log10.
+    NULL for n <= 2, NaN where r is; a perfect correlation has p 0 and no log10.
     """
     a, half, y = (n - F.lit(2.0)) / F.lit(2.0), F.lit(0.5), r * r
     x = F.lit(1.0) - y
@@ -99,8 +107,8 @@ def student_t_p(r: Column, n: Column) -> tuple[Column, Column]:
     near = F.lit(1.0) - F.exp(log_x) * front * _beta_fraction(half, a, y) / half
     small = x < (a + 1) / (a + F.lit(2.5))
     usable = (n > 2) & r.isNotNull()
-    p = F.when(usable & (y >= 1), F.lit(0.0)).when(usable & small, F.exp(log_x) * tail).when(usable, near)
-    log10_p = (F.when(usable & (y < 1) & small, log_x / F.lit(math.log(10.0)) + F.log10(tail))
+    p = F.when(usable & F.isnan(r), r).when(usable & (y >= 1), F.lit(0.0)).when(usable & small, F.exp(log_x) * tail).when(usable, near)
+    log10_p = (F.when(usable & F.isnan(r), r).when(usable & (y < 1) & small, log_x / F.lit(math.log(10.0)) + F.log10(tail))
                .when(usable & (y < 1), F.log10(near)))
     return p, log10_p
 
@@ -131,22 +139,24 @@ def pairwise_regression(long: DataFrame, group: str, x: str, y: str,
                         digits: int = 6) -> DataFrame:
     """Per group: pair count, Pearson r, least-squares line of y on x, R^2, and
     the t statistic of r (n - 2 degrees of freedom) with its two-sided p-value and
-    log10.  Pairs with a NULL on either side are ignored, as the SQL aggregates do."""
+    log10.  Pairs with a NULL on either side are ignored, as the SQL aggregates do; a
+    constant factor has r and a slope of NaN, a constant y an r of NaN."""
     X, Y = F.col(x), F.col(y)
     agg = long.groupBy(group).agg(
         F.regr_count(Y, X).alias("n"),
-        F.corr(X, Y).alias("r"),
+        F.regr_sxx(Y, X).alias("_sxx"), F.regr_syy(Y, X).alias("_syy"), F.regr_sxy(Y, X).alias("_sxy"),
         F.regr_slope(Y, X).alias("slope"),
         F.regr_intercept(Y, X).alias("intercept"),
         F.regr_r2(Y, X).alias("r2"),
-    )
+    ).withColumn("r", pearson(F.col("n"), F.col("_sxx"), F.col("_syy"), F.col("_sxy")))
     r = F.col("r")
+    slope = F.when((F.col("n") > 0) & (F.col("_sxx") == 0), F.lit(float("nan"))).otherwise(F.col("slope"))
     t = r * F.sqrt(safe_div(F.col("n") - F.lit(2.0), F.lit(1.0) - r * r))
     p_value, log10_p = student_t_p(r, F.col("n"))
     return agg.select(
         group, "n",
         F.round(r, digits).alias("pearson_r"),
-        F.round("slope", digits).alias("slope"),
+        F.round(slope, digits).alias("slope"),
         F.round("intercept", digits).alias("intercept"),
         F.round("r2", digits).alias("r2"),
         F.round(F.when(F.col("n") > 2, t), digits).alias("t_stat"),

@@ -64,3 +64,28 @@ def test_below_ten_to_the_minus_ten_and_edges(spark):
     assert measured(spark, [(0.5, 2), (0.5, 0)]) == [(None, None)] * 2
     assert measured(spark, [(1.0, 10), (-1.0, 10)]) == [(0.0, None)] * 2
     assert measured(spark, [(0.0, 10)])[0][0] == pytest.approx(1.0)
+
+
+def test_constant_side_has_no_correlation_but_fails_nothing(spark):
+    import duckdb
+    import math
+    from pluvial.operators.ranks import spearman
+    from pluvial.operators.stats import pairwise_regression
+
+    rows = [("flat", 0.0, float(k % 3)) for k in range(9)] + [("same", float(k), 2.0) for k in range(9)] \
+        + [("line", float(k), float(k * k)) for k in range(9)] + [("none", None, 1.0)]
+    long = spark.createDataFrame(rows, "g string, x double, y double")
+    got = {r.g: r for r in pairwise_regression(long, "g", "x", "y").collect()}
+    want = duckdb.sql("""SELECT g, regr_count(y, x), round(corr(x, y), 6), round(regr_slope(y, x), 6),
+        round(regr_intercept(y, x), 6), round(regr_r2(y, x), 6) FROM (VALUES %s) t(g, x, y) GROUP BY g""" % ", ".join(
+        f"('{g}', {'NULL::DOUBLE' if x is None else f'{x}::DOUBLE'}, {y}::DOUBLE)" for g, x, y in rows)).fetchall()
+
+    def same(a, b):
+        return a is b is None or (a is not None and b is not None and (a == b or (math.isnan(a) and math.isnan(b))))
+
+    for g, *values in want:
+        assert all(same(a, b) for a, b in zip(got[g][1:6], values)), (got[g], values)
+    assert all(math.isnan(got[g][c]) for g in ("flat", "same") for c in ("t_stat", "p_value", "log10_p"))
+    ranked = {r.g: r for r in spearman(long, "g", "x", "y").collect()}
+    assert math.isnan(ranked["flat"].spearman_rho) and math.isnan(ranked["same"].p_value)
+    assert ranked["line"].spearman_rho == 1.0
