@@ -135,3 +135,21 @@ def test_numbers_are_dense_and_in_order(spark, parts):
     got = sorted(number_rows(df, ["k"], "n", after=41, partitions=parts).collect())
     assert [r.n for r in got] == list(range(42, 1042))
     assert number_rows(df.limit(0), ["k"], "n").count() == 0
+
+
+def test_rows_do_not_move_to_their_parents(spark, tmp_dir):
+    store = RawStore(spark, tmp_dir, buckets=4)
+    load = Load(store, "1", strict=False)
+    load.add("patients", spark.sql("""SELECT concat('p', id) AS id, DATE'1990-01-01' AS birthdate, 'male' AS gender, 'c' AS city,
+        's' AS state, 1D AS lat, 2D AS lon, CAST(NULL AS TIMESTAMP) AS deceased_datetime FROM range(50)"""), ["id"])
+    rows = spark.sql("SELECT id, IF(id = 7, NULL, concat('p', id % 60)) AS patient_id, CAST(NULL AS STRING) AS _reason FROM range(600)")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")    # the parents are too many to broadcast
+    try:
+        judged = load._judged(rows, ["patient_id"], "patients")
+        assert "hashpartitioning" not in judged._jdf.queryExecution().executedPlan().toString()
+        bad = {r.id for r in judged.where("_reason = 'no patients for patient_id'").collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        load.close()
+    assert bad == {k for k in range(600) if k % 60 >= 50}
