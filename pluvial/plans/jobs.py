@@ -171,12 +171,12 @@ def store_bundles(store: RawStore, landing: str, version: str, layout: str = "fi
     """``load_bundles`` into a store: all tables of the load are published at once."""
     load = Load(store, f"bundles-{version}")
     try:
-        good, rejected = B.quarantine(load.kept(B.entries(B.scan(store.spark, landing, layout, glob)), "bundles"))
+        good, rejected = B.quarantine(load.kept(B.typed(B.entries(B.scan(store.spark, landing, layout, glob))), "bundles"))
         n = load.add_log("rejected_bundles", B.rejects(rejected))
         if n:
             log.warning("rejected %s bundles", n)
         for name in ("patients", "encounters", "conditions"):
-            load.add(name, getattr(B, name)(good), list(B.LINEAGE), origin=B.LINEAGE)
+            load.add(name, B.typed_rows(good, name), list(B.LINEAGE), origin=B.LINEAGE, written=True)
         return load.commit()
     finally:
         load.close()
