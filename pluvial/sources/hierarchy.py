@@ -106,6 +106,8 @@ def walk_recursive(spark: SparkSession, links: DataFrame, root_url: str) -> Data
     grows with the number of paths, and a cycle would never end: the query fails
     after ``MAX_LEVELS`` levels.  ``walk`` has neither limit.
     """
+    # every level joins the links: parse them once
+    links = reliable_checkpoint(links.select("parent_url", "child_url", "ordinal"))
     ordinal = links.schema["ordinal"].dataType.simpleString()
     key = "spark.sql.cteRecursionRowLimit"
     before = spark.conf.get(key, None)

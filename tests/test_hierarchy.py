@@ -70,3 +70,24 @@ def test_recursive_query_fails_on_a_cycle(spark, monkeypatch):
     with pytest.raises(Exception, match="RECURSION"):
         H.walk_recursive(spark, H.links_from_documents(docs), ROOT)
     assert H.walk(spark, H.links_from_documents(docs), ROOT).count() == 2
+
+
+def test_links_and_documents_are_derived_once(spark, monkeypatch):
+    """The recursive query joins written links on every level, and documents land in several tasks."""
+    from conftest import SF_SMALL
+    from pluvial.sources import derived as D
+    from pluvial.sources import hierarchy as H
+    from pluvial.sources.tables import Tables
+
+    written, write = [], H.reliable_checkpoint
+    monkeypatch.setattr(H, "reliable_checkpoint", lambda df: written.append(df.columns) or write(df))
+    links = spark.createDataFrame([("r", "a", 0), ("r", "b", 1), ("a", "c", 0), ("b", "c", 0)],
+                                  "parent_url string, child_url string, ordinal int")
+    got = {(r.url, r.parent_url, r.depth) for r in H.walk_recursive(spark, links, "r").collect()}
+    assert got == {("r", None, 0), ("a", "r", 1), ("b", "r", 1), ("c", "a", 2)}
+    assert written == [["parent_url", "child_url", "ordinal"], ["url", "parent_url", "depth", "path"]]
+    monkeypatch.setattr(D, "TASK_DOCUMENTS", 50)
+    t = Tables(spark, SF_SMALL)
+    landed, want = D.landed_documents(t), D.numbered_documents(t)
+    assert len(landed.inputFiles()) > 2
+    assert landed.exceptAll(want).isEmpty() and want.exceptAll(landed).isEmpty()
