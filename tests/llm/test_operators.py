@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import re
 import zlib
 
@@ -469,6 +470,54 @@ def test_semdedup_brute_force(vectors, monkeypatch, cell):
     assert semdedup.near_duplicates(vectors.limit(0)).count() == 0
 
 
+def test_semdedup_without_structure_in_rounds(spark, monkeypatch):
+    """Only homes are written, however many cells vectors visit; rounds see each pair once."""
+    rng = np.random.default_rng(5)
+    m = rng.normal(size=(300, 12))
+    m[:60] = m[60:120] + 0.05 * rng.normal(size=(60, 12))
+    m /= np.sqrt((m * m).sum(axis=1, keepdims=True))
+    wrote = []
+
+    def counted(df, name):
+        out, path = materialize(df, name)
+        wrote.append((name, out.count()))
+        return out, path
+
+    materialize = semdedup.materialize
+    monkeypatch.setattr(semdedup, "materialize", counted)
+    monkeypatch.setattr(semdedup, "CELL_ROWS", 10)
+    monkeypatch.setattr(semdedup, "BLOCK", 7)
+    monkeypatch.setattr(semdedup, "ROUND_ROWS", 1, raising=False)
+    monkeypatch.setattr(semdedup, "PIECE", 64, raising=False)
+    monkeypatch.setattr(semdedup, "PIECE_BYTES", 1024, raising=False)
+    links = np.argwhere((m @ m.T >= 0.95) & ~np.eye(300, dtype=bool)).tolist()
+    groups = union_find(range(300), links)
+    least = {}
+    for i, g in groups.items():
+        least[g] = min(least.get(g, 300), i)
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(m.tolist())], "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in semdedup.near_duplicates(rows).collect())
+    assert got == [(i, sum(a == i for a, _ in links), least[groups[i]]) for i in range(300)]
+    assert dict(wrote)["sem-cells"] == 300
+    assert sum(name == "sem-links" for name, _ in wrote) > 3
+
+
+def test_semdedup_visits_hold_a_piece_at_a_time(monkeypatch):
+    monkeypatch.setattr(semdedup, "PIECE", 4096)
+    rng = np.random.default_rng(6)
+    v, c = (semdedup.unit(rng.normal(size=(n, 16))).astype(np.float32) for n in (500, 300))
+    own, best = semdedup.nearest(v, c)
+    assert (own == (v @ c.T).argmax(axis=1)).all() and np.allclose(best, (v @ c.T).max(axis=1))
+    seen = list(semdedup.visits(v, own, np.arange(300), c, semdedup.gaps_of(c), 0.95))
+    assert max(guest.size for _, guest in seen) <= 4096
+    guest = np.concatenate([g for _, g in seen])
+    gap = np.sqrt(((c[own][:, None] - c[None]) ** 2).sum(axis=2))
+    needed = best[:, None] - v @ c.T <= gap * math.sqrt(0.1)
+    hosts = np.array([[a != b and ((a + b) % 2 == 0) == (b < a) for b in range(300)] for a in own])
+    assert guest[needed & hosts].all() and not guest[~hosts].any()
+    assert all(((a + b) % 2 == 0) == (b < a) or ((a + b) % 2 == 0) == (a < b) for a in range(9) for b in range(9) if a != b)
+
+
 def test_ann_recall_and_order(spark):
     folder = "/root/testdata/sf0.1"
     rows = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
