@@ -51,6 +51,10 @@ TABLES, PROBES, PROBED_ROWS = 32, 32, 50_000
 BUCKET_ROWS = 3
 BANDS = 2
 BLOCK, QUERY_PLACES = 4096, 1 << 20
+#: Queries whose probes one task finds, about.
+QUERY_ROWS = 500
+#: Sums of distances that a task holds at a time.
+PROBED_AT_ONCE = 1 << 20
 SEED = 9
 QUERY_STEP = 100
 #: Bands whose lengths differ by less than this part are hashed without the lift.
@@ -115,6 +119,9 @@ def bucket(unit: np.ndarray, tab: int, parts: list[int]) -> np.ndarray:
 def probed(unit: np.ndarray, tab: int, parts: list[int], probes: int) -> np.ndarray:
     """Each row's ``probes`` nearest buckets (all, if fewer): those of the least sum of
     squared distances between its best and the taken axis's coordinate."""
+    step = max(1, PROBED_AT_ONCE // (probes * 2 * max(parts)))
+    if len(unit) > step:
+        return np.concatenate([probed(unit[i:i + step], tab, parts, probes) for i in range(0, len(unit), step)])
     code, cost = np.zeros((len(unit), 1), np.int64), np.zeros((len(unit), 1), unit.dtype)
     for turned in _turned(unit, tab, parts):
         both = np.stack([turned, -turned], axis=2).reshape(len(turned), -1)
@@ -223,7 +230,8 @@ def _placed(usable: DataFrame, bands: list[Band]) -> DataFrame:
                         "vector": [x.tobytes() for x in own[at]]})
 
     rows = usable.mapInPandas(first, "vec_id long, dim int, band int, code long, vector binary")
-    return (number_rows(rows, ["dim", "band", "code", "vec_id", "vector"], "n")
+    # the driver samples what rows are ordered by, for each partition: numbers, no vectors
+    return (number_rows(rows.withColumn("mark", F.xxhash64("vector")), ["dim", "band", "code", "vec_id", "mark"], "n")
             .select("vec_id", "dim", "band", "vector", F.expr(f"(n - 1) div {BLOCK}").alias("block"),
                     ((F.col("n") - 1) % BLOCK).cast("int").alias("place")))
 
@@ -261,13 +269,18 @@ def _probed(asked: DataFrame, bands: list[Band], tables: int, probes: int) -> Da
                         yield pd.DataFrame({"query": np.repeat(ids, code.shape[1]), "band": b.number,
                                             "tab": tab, "code": code.ravel()})
 
-    return asked.select("vec_id", "dim", "vector").mapInPandas(rows, "query long, band int, tab int, code long")
+    # few rows, each of much work; counted from the files' footers
+    tasks = math.ceil(asked.count() / QUERY_ROWS) or 1
+    return (asked.select("vec_id", "dim", "vector").repartition(tasks, "vec_id")
+            .mapInPandas(rows, "query long, band int, tab int, code long"))
 
 
 def candidates(placed: DataFrame, asked: DataFrame, bands: list[Band], tables: int = TABLES,
                probes: int = PROBES) -> DataFrame:
     """(query, block, places): every candidate of each query, once."""
-    met = _probed(asked, bands, tables, probes).join(_hashed(placed, bands, tables), ["band", "tab", "code"])
+    # a query has thousands of buckets: by the size of the queries' table a plan would broadcast them
+    met = (_probed(asked, bands, tables, probes).hint("merge")
+           .join(_hashed(placed, bands, tables), ["band", "tab", "code"]))
     return (met.groupBy("query", "block").agg(F.collect_list("places").alias("lists"))
             .select("query", "block", F.array_distinct(F.flatten("lists")).alias("places")))
 

@@ -59,6 +59,31 @@ def test_a_hot_bucket_is_compared_whole(spark):
         assert [v for v, _ in got[q]] == same and all(s == 0 for _, s in got[q])
 
 
+def test_the_driver_gets_neither_probes_nor_vectors(spark, monkeypatch):
+    """A query has thousands of probes, so these are never broadcast; range bounds hold no vectors."""
+    orders, number_rows = [], ann.number_rows
+
+    def seen(df, order, *rest):
+        orders.append([df.schema[c].dataType.simpleString() for c in order])
+        return number_rows(df, order, *rest)
+
+    monkeypatch.setattr(ann, "number_rows", seen)
+    m = np.random.default_rng(11).normal(size=(500, 16))
+    placed, asked, bands = ann.index(frame(spark, m), F.col("vec_id") % 50 == 0)
+    assert orders and not any("binary" in kinds for kinds in orders)
+    plan = ann.candidates(placed, asked, bands)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_probes_of_many_queries_are_taken_in_parts(monkeypatch):
+    unit = np.random.default_rng(12).normal(size=(40, 32)).astype(np.float32)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    whole, shapes, partition = ann.probed(unit, 1, [32, 32], 20), [], np.argpartition
+    monkeypatch.setattr(ann, "PROBED_AT_ONCE", 3 * 20 * 64, raising=False)
+    monkeypatch.setattr(np, "argpartition", lambda a, *rest, **more: shapes.append(a.size) or partition(a, *rest, **more))
+    assert (ann.probed(unit, 1, [32, 32], 20) == whole).all() and max(shapes) <= 3 * 20 * 64
+
+
 def test_probes_are_the_nearest_buckets():
     rng = np.random.default_rng(10)
     unit = rng.normal(size=(6, 16))
