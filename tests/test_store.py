@@ -153,3 +153,24 @@ def test_rows_do_not_move_to_their_parents(spark, tmp_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         load.close()
     assert bad == {k for k in range(600) if k % 60 >= 50}
+
+
+def test_writes_of_a_load_leave_no_shuffle_files(spark, tmp_dir):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    folders = [d.getPath() for d in env.blockManager().diskBlockManager().localDirs()]
+
+    def shuffled():
+        return sum(os.path.getsize(f"{at}/{f}") for d in folders for at, _, files in os.walk(d) for f in files
+                   if f.startswith("shuffle_") and f.endswith(".data"))
+
+    store = RawStore(spark, os.path.join(tmp_dir, "store"), buckets=4)
+    load = Load(store, "1")
+    before = shuffled()
+    kept = load.kept(spark.range(50_000).selectExpr("hash(id) id").distinct(), "ids")
+    place, n = store.write(spark.range(20_000).selectExpr(
+        "concat('p', id) id", "cast(null as date) birthdate", "'male' gender", "'c' city", "'s' state", "1D lat", "2D lon",
+        "cast(null as timestamp) deceased_datetime", "current_timestamp() loaded_at"), "patients", "1")
+    assert shuffled() - before < 10_000      # of its counts; the rows of either are over 100,000 bytes
+    assert (kept.distinct().count(), n, store.scan("patients", [place]).count()) == (kept.count(), 20_000, 20_000)
+    assert shuffled() - before > 100_000     # what is not a write keeps its files for now
+    load.close()
